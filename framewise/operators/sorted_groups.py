@@ -23,20 +23,26 @@ def _group_breaks(pdf: pd.DataFrame, keys: list[str]) -> pd.Series:
     return changed
 
 
-def map_sorted_groups(df: DataFrame, keys, order, fn: Callable[[pd.DataFrame], pd.DataFrame],
+def map_sorted_groups(df: DataFrame, keys, order, fn: Callable[[pd.DataFrame], pd.DataFrame] | None,
                       schema, num_partitions: int | None = None,
-                      whole_groups: bool = True) -> DataFrame:
+                      whole_groups: bool = True,
+                      fn_factory: Callable[[], Callable] | None = None) -> DataFrame:
     """Apply ``fn`` to pandas frames holding complete, ordered groups.
 
     With ``whole_groups=False`` batches are passed as they come (still in
-    order); ``fn`` must then carry per-group state itself, which lets a very
-    long group (one busy camera) stream through without being held.
+    order) and ``fn(None)`` marks the end of the partition; ``fn`` must then
+    carry per-group state itself, which lets a very long group (one busy
+    camera) stream through without being held.  Stateful functions come from
+    ``fn_factory``, called once per partition, so a retried task never sees
+    state left over from an earlier attempt in a reused Python worker.
     """
     keys, order = list(keys), list(order)
+    fn_static = fn
     parted = df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
     ordered = parted.sortWithinPartitions(*(keys + order))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fn = fn_factory() if fn_factory is not None else fn_static
         if not whole_groups:
             for pdf in batches:
                 if len(pdf):

@@ -1,4 +1,4 @@
 """Registered queries (Spark) with their DuckDB oracles, and fixture views."""
 
-from . import q_geometry, q_motion  # noqa: F401
+from . import q_geometry, q_motion, q_tracking  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -154,14 +154,19 @@ def _closure(names) -> list[str]:
     return order
 
 
+_DEFINED: dict[int, set] = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame of a fixture view over the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir)
-    df = None
+    if register_tables(spark, sf_dir):
+        _DEFINED[id(spark)] = set()
+    defined = _DEFINED.setdefault(id(spark), set())
     for n in _closure([name]):
-        df = spark.sql(VIEWS[n][0])
-        df.createOrReplaceTempView(n)
-    return df
+        if n not in defined:
+            spark.sql(VIEWS[n][0]).createOrReplaceTempView(n)
+            defined.add(n)
+    return spark.table(name)
 
 
 def duck_with(*names: str) -> str:

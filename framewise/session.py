@@ -67,8 +67,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/framewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Expose the driver tables as temp views (lazy parquet scans)."""
+_REGISTERED: dict[int, str] = {}
+
+
+def register_tables(spark: SparkSession, sf_dir: str) -> bool:
+    """Expose the driver tables as temp views (lazy parquet scans).
+    Returns False when this session already has views for ``sf_dir``."""
+    sf_dir = sf_dir.rstrip("/")
+    if _REGISTERED.get(id(spark)) == sf_dir and spark.catalog.tableExists(TABLES[-1]):
+        return False
     for t in TABLES:
-        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        spark.read.parquet(path).createOrReplaceTempView(t)
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+    _REGISTERED[id(spark)] = sf_dir
+    return True
