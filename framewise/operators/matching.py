@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions import vectors as V
 from .assignment import min_cost_matching
 from .motion import mahalanobis_pairs
-from .sorted_groups import iter_groups
+from .sorted_groups import iter_groups, python_parallelism
 
 
 def association_costs(tracks: DataFrame, gallery: DataFrame, dets: DataFrame,
@@ -87,7 +87,8 @@ def match_min_cost(edges: DataFrame, max_distance: float, keys=("camera_id", "fr
     Returns the matched pairs with their cost."""
     keys = list(keys)
     cols = keys + [left, right, cost] + ([level] if level else [])
-    e = edges.where(F.col(cost) <= max_distance).select(*cols).repartition(*keys)
+    e = edges.where(F.col(cost) <= max_distance).select(*cols)
+    e = e.repartition(python_parallelism(e), *keys)
     wl = Window.partitionBy(*keys, left)
     wr = Window.partitionBy(*keys, right)
     e = e.withColumn("_dl", F.count(F.lit(1)).over(wl)).withColumn("_dr", F.count(F.lit(1)).over(wr))

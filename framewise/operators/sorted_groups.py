@@ -16,6 +16,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 
+def python_parallelism(df: DataFrame) -> int:
+    """Partition count for CPU-bound Python stages.  Their shuffle input is
+    small in bytes, so size-based coalescing (AQE) would squeeze them into a
+    few tasks; an explicit count keeps every core busy."""
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, spark.sparkContext.defaultParallelism)
+
+
 def _group_breaks(pdf: pd.DataFrame, keys: list[str]) -> pd.Series:
     changed = pd.Series(False, index=pdf.index)
     for k in keys:
@@ -38,7 +47,7 @@ def map_sorted_groups(df: DataFrame, keys, order, fn: Callable[[pd.DataFrame], p
     """
     keys, order = list(keys), list(order)
     fn_static = fn
-    parted = df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
+    parted = df.repartition(num_partitions or python_parallelism(df), *keys)
     ordered = parted.sortWithinPartitions(*(keys + order))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -280,8 +280,8 @@ _A1_DFEAT = "[d.w, d.h, d.x + 1, d.y + 1]"
 def _a1_oracle():
     d2 = KS.gating(_pred_sql(1), _DZ)
     return duck_with("fx_tracks", "fx_meas") + f"""
-, g as (select camera_id, track_id, [w, h, x + 1, y + 1] as feature from fx_tracks
-        union all select camera_id, track_id, [h, w, y + 1, x + 1] from fx_tracks),
+, g as (select camera_id, frame_no, track_id, [w, h, x + 1, y + 1] as feature from fx_tracks
+        union all select camera_id, frame_no, track_id, [h, w, y + 1, x + 1] from fx_tracks),
 p as (select t.camera_id, t.frame_no, t.track_id, d.det_id, {_A1_DFEAT} as df
       from fx_tracks t join fx_meas d on t.camera_id = d.camera_id and t.frame_no = d.frame_no
       where {d2} <= 9.4877)
@@ -289,7 +289,7 @@ select p.camera_id, p.frame_no, p.track_id, p.det_id,
        round(min(1.0 - list_reduce(list_transform(range(1, 5), lambda i: p.df[i] * g.feature[i]), lambda a, b: a + b)
              / (sqrt(list_reduce(list_transform(p.df, lambda x: x * x), lambda a, b: a + b))
                 * sqrt(list_reduce(list_transform(g.feature, lambda x: x * x), lambda a, b: a + b)))), 6) as cost
-from p join g on p.camera_id = g.camera_id and p.track_id = g.track_id
+from p join g on p.camera_id = g.camera_id and p.frame_no = g.frame_no and p.track_id = g.track_id
 group by p.camera_id, p.frame_no, p.track_id, p.det_id
 """
 
@@ -297,8 +297,9 @@ group by p.camera_id, p.frame_no, p.track_id, p.det_id
 def _a1_inputs(spark, sf):
     t, d = _gate_sides(spark, sf)
     ft = fixture(spark, sf, "fx_tracks")
-    gal = ft.select("camera_id", "track_id", F.array("w", "h", F.col("x") + 1, F.col("y") + 1).alias("g_feature")) \
-        .unionByName(ft.select("camera_id", "track_id",
+    gal = ft.select("camera_id", "frame_no", "track_id",
+                    F.array("w", "h", F.col("x") + 1, F.col("y") + 1).alias("g_feature")) \
+        .unionByName(ft.select("camera_id", "frame_no", "track_id",
                                F.array("h", "w", F.col("y") + 1, F.col("x") + 1).alias("g_feature")))
     me = fixture(spark, sf, "fx_meas")
     d = d.join(me.select("camera_id", "frame_no", "det_id",
@@ -310,7 +311,8 @@ def _a1_inputs(spark, sf):
 @query("a1_association_costs", _a1_oracle())
 def q_a1(spark, sf):
     t, gal, d = _a1_inputs(spark, sf)
-    c = A.association_costs(t, gal, d)
+    # fixture tracks are per-frame rows, so a track's gallery is keyed by frame too
+    c = A.association_costs(t, gal, d, gallery_keys=("camera_id", "frame_no", "track_id"))
     return c.select("camera_id", "frame_no", "track_id", "det_id", round6("cost").alias("cost"))
 
 
