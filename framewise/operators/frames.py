@@ -79,3 +79,25 @@ def processing_latency(frames: DataFrame, results: DataFrame, key: str = "camera
     return (j.withColumn("latency_s", lat).groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_frames"), F.avg("latency_s").alias("avg_latency_s"),
                  F.min("latency_s").alias("min_latency_s"), F.max("latency_s").alias("max_latency_s")))
+
+
+def batch_intake_counts(messages: DataFrame, now, batch_col: str = "batch_id",
+                        value_col: str = "value", max_age_s: int = 5) -> DataFrame:
+    """Per (batch, camera): messages received, malformed, stale, superseded
+    by a newer fresh frame of the same camera, and processed (at most one).
+    Rejects are attributed to the camera named in the message when it can
+    be read.  All counts are decomposable sums (map-side partial aggregation)."""
+    from ..sources.messages import parse_frame_messages
+
+    good, rejects = parse_frame_messages(messages, value_col)
+    fresh = frame_age_seconds("frame_ts", now).between(0, max_age_s)
+    g = good.select(batch_col, "camera_id", F.lit(0).alias("_bad"), fresh.cast("int").alias("_fresh"))
+    r = rejects.select(batch_col, F.get_json_object(value_col, "$.camera_id").alias("camera_id"),
+                       F.lit(1).alias("_bad"), F.lit(0).alias("_fresh"))
+    a = g.unionByName(r).groupBy(batch_col, "camera_id").agg(
+        F.count(F.lit(1)).alias("received"), F.sum("_bad").cast("bigint").alias("malformed"),
+        F.sum(F.when((F.col("_bad") == 0) & (F.col("_fresh") == 0), 1).otherwise(0)).cast("bigint").alias("stale"),
+        F.sum("_fresh").cast("bigint").alias("_n_fresh"))
+    return (a.withColumn("processed", F.least(F.col("_n_fresh"), F.lit(1)).cast("bigint"))
+             .withColumn("superseded", F.greatest(F.col("_n_fresh") - 1, F.lit(0)).cast("bigint"))
+             .drop("_n_fresh"))

@@ -46,8 +46,43 @@ def linear_encoder(weights, inputs=("x", "y", "w", "h"), keep=(), out: str = "fe
             V = X @ W.T
             V = V / np.sqrt(eps + (V * V).sum(axis=1, keepdims=True))
             res = pdf[list(keep)].copy()
-            res[out] = list(V)
+            bad = np.isnan(X).any(axis=1)          # no input (e.g. empty crop) -> no vector
+            res[out] = [None if b else v for b, v in zip(bad, V)]
             return res
         return model
 
     return factory
+
+
+def mot_feature_job(spark, det_root: str, frame_index: DataFrame, sizes: DataFrame,
+                    encoder_factory, out_path: str, batch_size: int = 32,
+                    glob: str = "*/det/det.txt", pattern: str = r"([^/]+)/det/[^/]+$",
+                    patch=(128, 64)) -> DataFrame:
+    """Offline appearance features for MOT-style detection files.
+
+    Reads every sequence's detections in one scan, keeps frames that have an
+    image (the rest are reported by :func:`frame_coverage`), computes the
+    encoder crop window (float boxes), runs the encoder in batches on the
+    executors, and writes per sequence the detection row followed by the
+    feature vector.  Parallel over rows, not over sequences.  Returns the
+    written store (read back lazily) and the detections dropped for lack of
+    an image."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from ..sources.mot import frame_coverage, read_mot_detections, write_feature_store
+    from .detector import crop_window
+
+    dets = read_mot_detections(spark, det_root, glob=glob, pattern=pattern)
+    _, dropped = frame_coverage(dets, frame_index)
+    kept = dets.join(frame_index.select("sequence", "frame_no").distinct(), ["sequence", "frame_no"])
+    kept = crop_window(kept.join(sizes, "sequence"), integer_input=False, patch=patch)
+    schema = T.StructType([T.StructField("sequence", T.StringType()), T.StructField("frame_no", T.IntegerType()),
+                           T.StructField("row", T.ArrayType(T.DoubleType())),
+                           T.StructField("feature", T.ArrayType(T.DoubleType()))])
+    src = kept.select("sequence", "frame_no", "row", *[F.col(f"crop_{c}").cast("double").alias(f"crop_{c}")
+                                                      for c in ("x1", "y1", "x2", "y2")])
+    feats = score_in_batches(src, encoder_factory, schema, batch_size)
+    write_feature_store(feats.withColumn("feature", F.coalesce("feature", F.array().cast("array<double>"))),
+                        out_path)
+    return spark.read.parquet(out_path), dropped

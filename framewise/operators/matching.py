@@ -128,6 +128,42 @@ def match_cascade(edges: DataFrame, max_distance: float, level: str = "time_sinc
     return match_min_cost(e, max_distance, level=level, **kw)
 
 
+def match_two_stage(tracks: DataFrame, gallery: DataFrame, dets: DataFrame, cfg=None,
+                    keys=("camera_id", "frame_no"), gallery_keys=("camera_id", "track_id"),
+                    track_id: str = "track_id", det_id: str = "det_id") -> DataFrame:
+    """Association of one frame's predicted tracks with its detections.
+
+    Stage 1: confirmed tracks, appearance cost inside the motion gate,
+    matching cascade by ``time_since_update`` (max ``cfg.max_cosine``).
+    Stage 2: unconfirmed tracks plus confirmed ones left over with
+    ``time_since_update == 1``, IoU cost on the detections still free
+    (max ``cfg.max_iou``).  Returns the union of both stages' matches with
+    ``stage``.
+
+    ``tracks``: keys, track_id, ``kf`` (predicted state), ``state``,
+    ``time_since_update``, tlwh ``t_x, t_y, t_w, t_h``.  ``dets``: keys,
+    det_id, xyah ``d_cx, d_cy, d_a, d_h``, tlwh ``d_x, d_y, d_w, d_h`` and
+    ``d_feature``.  ``gallery``: gallery_keys + ``g_feature``."""
+    from ..config import TrackerConfig
+    from .geometry import iou_cost
+
+    cfg = cfg or TrackerConfig()
+    keys = list(keys)
+    conf = tracks.where(F.col("state") == 2)
+    costs = association_costs(conf, gallery, dets, keys, gallery_keys, track_id, det_id,
+                              only_position=cfg.only_position)
+    costs = costs.join(conf.select(*keys, track_id, "time_since_update"), keys + [track_id])
+    ma = match_cascade(costs, cfg.max_cosine, level="time_since_update", depth=cfg.max_age,
+                       keys=keys, left=track_id, right=det_id)
+    free = dets.join(ma.select(*keys, det_id), keys + [det_id], "left_anti")
+    cand = (tracks.where((F.col("state") != 2) | (F.col("time_since_update") == 1))
+            .join(ma.select(*keys, track_id), keys + [track_id], "left_anti"))
+    ic = iou_cost(cand.select(*keys, track_id, "time_since_update", "t_x", "t_y", "t_w", "t_h"),
+                  free.select(*keys, det_id, "d_x", "d_y", "d_w", "d_h"), keys)
+    mb = match_min_cost(ic, cfg.max_iou, keys=keys, left=track_id, right=det_id)
+    return (ma.withColumn("stage", F.lit(1)).unionByName(mb.withColumn("stage", F.lit(2))))
+
+
 def unmatched_sides(tracks: DataFrame, dets: DataFrame, matches: DataFrame,
                     keys=("camera_id", "frame_no"), track_id: str = "track_id",
                     det_id: str = "det_id") -> tuple[DataFrame, DataFrame]:
