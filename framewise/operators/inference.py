@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 
 
 def score_in_batches(df: DataFrame, model_factory: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
-                     out_schema, batch_size: int = 32) -> DataFrame:
+                     out_schema, batch_size: int = 32, one_to_one: bool = True) -> DataFrame:
     """Apply a model to rows in batches of ``batch_size`` (short tail
     included); output rows follow input order within each partition.
 
     ``model_factory`` is called once per partition (load weights there, not
     per batch); the model maps a pandas batch to a pandas frame of the same
     length with the ``out_schema`` columns.  Arrow batch size is the Spark
-    setting; model batches are cut from it.
+    setting; model batches are cut from it.  ``one_to_one=False`` allows
+    models that emit any number of rows per input (detectors).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -26,7 +27,7 @@ def score_in_batches(df: DataFrame, model_factory: Callable[[], Callable[[pd.Dat
             for s in range(0, len(pdf), batch_size):
                 part = pdf.iloc[s:s + batch_size].reset_index(drop=True)
                 out = model(part)
-                if len(out) != len(part):
+                if one_to_one and len(out) != len(part):
                     raise ValueError("model must return one row per input row")
                 yield out
 
