@@ -12,11 +12,11 @@ def load_dimensions(spark: SparkSession, classes_path: str, anchors_path: str) -
 
     Files are read whole (``wholetext``) so line order is explicit and never
     depends on how rows are split into partitions."""
-    ct = spark.read.option("wholetext", True).text(classes_path)
+    ct = spark.read.text(classes_path, wholetext=True)
     lines = F.filter(F.split(F.col("value"), "\r?\n"), lambda s: F.length(F.trim(s)) > 0)
     classes = ct.select(F.posexplode(lines).alias("class_id", "class_name")) \
                 .select(F.col("class_id").cast("int"), F.trim("class_name").alias("class_name"))
-    at = spark.read.option("wholetext", True).text(anchors_path)
+    at = spark.read.text(anchors_path, wholetext=True)
     nums = F.transform(F.split(F.split(F.col("value"), "\r?\n")[0], ","), lambda s: F.trim(s).cast("double"))
     pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size(nums) / 2) - 1),
                         lambda i: F.struct(i.cast("int").alias("anchor_id"), nums[2 * i].alias("anchor_w"),
