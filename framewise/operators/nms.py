@@ -8,7 +8,7 @@ Python worker is involved; the fold runs inside the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import col
@@ -68,5 +68,11 @@ def nms_per_frame(dets: DataFrame, max_overlap: float = 1.0, by: str = "score",
     to the larger id.  Returns the surviving rows with their ``pick`` order."""
     x, y, w, h = map(col, box)
     rank = col(score) if by == "score" else (y + h)
+    if max_overlap >= 1.0:
+        # The intersection never exceeds a box's own (+1) area, and degenerate
+        # boxes give 0 or null, so nothing can be suppressed: only the pick
+        # order remains, a ranking without gathering the frame.
+        w_ = Window.partitionBy(*keys).orderBy(rank.desc(), col(id_col).desc())
+        return dets.withColumn("pick", (F.row_number().over(w_) - 1).cast("int"))
     tmp = dets.withColumn("_rank", rank).withColumn("_x2", x + w).withColumn("_y2", y + h)
     return greedy_fold(tmp, keys, id_col, "_rank", box[0], box[1], "_x2", "_y2", max_overlap)
