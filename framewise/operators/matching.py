@@ -1,10 +1,10 @@
 """Association: costs, gated one-to-one matching, cascade, left-overs.
 
 Matching is optimal per frame.  Feasible edges (cost <= max) are shuffled
-once by the frame keys; an edge that is the only feasible one for both its
-track and its detection is a component of its own and is matched in SQL.
-Only the remaining contested frames reach Python, many frames per Arrow
-batch, where a small Hungarian solver runs on each frame's sub-matrix.
+once by the frame keys; window counts flag an edge that is the only feasible
+one for both its track and its detection (a component of its own, always
+matched), and such edges pass straight through.  Only contested frames run
+a small Hungarian solver on their sub-matrix, many frames per Arrow batch.
 """
 
 from __future__ import annotations
@@ -91,11 +91,18 @@ def match_min_cost(edges: DataFrame, max_distance: float, keys=("camera_id", "fr
     e = e.repartition(python_parallelism(e), *keys)
     wl = Window.partitionBy(*keys, left)
     wr = Window.partitionBy(*keys, right)
-    e = e.withColumn("_dl", F.count(F.lit(1)).over(wl)).withColumn("_dr", F.count(F.lit(1)).over(wr))
-    lone = (F.col("_dl") == 1) & (F.col("_dr") == 1)
-    easy = e.where(lone).select(*keys, left, right, F.col(cost).cast("double").alias(cost))
-    hard = e.where(~lone).drop("_dl", "_dr")
+    e = e.withColumn("_lone", ((F.count(F.lit(1)).over(wl) == 1) & (F.count(F.lit(1)).over(wr) == 1)))
     schema = _match_schema(edges, keys, left, right, cost)
+    out_cols = keys + [left, right, cost]
+
+    def solve(pdf):
+        lone = pdf["_lone"].to_numpy(dtype=bool)
+        easy = pdf.loc[lone, out_cols]
+        hard = pdf.loc[~lone].reset_index(drop=True)
+        parts = [easy.astype({cost: float})]
+        if len(hard):
+            parts.append(_solve_frames(hard, keys, left, right, cost, max_distance, level))
+        return pd.concat(parts, ignore_index=True)
 
     def fn(batches):
         carry = None
@@ -110,14 +117,16 @@ def match_min_cost(edges: DataFrame, max_distance: float, keys=("camera_id", "fr
                 tail &= (pdf[k] == last[k]).to_numpy()
             ready, carry = pdf[~tail], pdf[tail].reset_index(drop=True)
             if len(ready):
-                yield _solve_frames(ready.reset_index(drop=True), keys, left, right, cost,
-                                    max_distance, level)
+                yield solve(ready.reset_index(drop=True))
         if carry is not None and len(carry):
-            yield _solve_frames(carry, keys, left, right, cost, max_distance, level)
+            yield solve(carry)
 
+    # One pass: an edge that is the only feasible one for both its ends is
+    # its own component and passes straight through; only contested frames
+    # run the solver.  (A SQL fast path unioned with the solver branch
+    # would evaluate the whole upstream twice.)
     order = keys + ([level] if level else []) + [left, right]
-    solved = hard.sortWithinPartitions(*order).mapInPandas(fn, schema)
-    return easy.unionByName(solved)
+    return e.sortWithinPartitions(*order).mapInPandas(fn, schema)
 
 
 def match_cascade(edges: DataFrame, max_distance: float, level: str = "time_since_update",

@@ -38,13 +38,18 @@ def read_frame_index(spark: SparkSession, root: str, glob: str = "*/img1/*",
 
 
 def frame_coverage(dets: DataFrame, frame_index: DataFrame, key: str = "sequence",
-                   frame: str = "frame_no") -> tuple[DataFrame, DataFrame]:
+                   frame: str = "frame_no", block: int = 4096) -> tuple[DataFrame, DataFrame]:
     """Every frame between the first and last detected frame of a sequence,
     with ``has_dets`` / ``has_image``; plus the detections dropped because
-    their frame has no image.  The frame spine is generated per sequence
-    (``sequence(min, max)``), and images are matched by an equi-join."""
+    their frame has no image.  The frame spine is generated in blocks of
+    ``block`` frames (two-level explode), so no row ever holds a whole long
+    sequence; images are matched by an equi-join."""
     rng = dets.groupBy(key).agg(F.min(frame).alias("_lo"), F.max(frame).alias("_hi"))
-    spine = rng.select(key, F.explode(F.sequence("_lo", "_hi")).alias(frame))
+    blocks = rng.select(key, "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") / block),
+                                                               F.floor(F.col("_hi") / block))).alias("_b"))
+    lo = F.greatest(F.col("_lo"), (F.col("_b") * block).cast("int"))
+    hi = F.least(F.col("_hi"), (F.col("_b") * block + block - 1).cast("int"))
+    spine = blocks.select(key, F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias(frame))
     have_d = dets.select(key, frame).distinct().withColumn("has_dets", F.lit(True))
     have_i = frame_index.select(key, frame).distinct().withColumn("has_image", F.lit(True))
     cov = (spine.join(have_d, [key, frame], "left").join(have_i, [key, frame], "left")
