@@ -26,7 +26,7 @@ from (select vec_id, unnest(cast(embedding as double[])) as v,
       from embeddings) t
 """)
 def q_v1(spark, sf):
-    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    e = fixture(spark, sf, "fx_queries") and spark.table("embeddings")
     n = VO.l2_normalize(e, "embedding", eps=1e-8, out="unit")
     return n.select("vec_id", F.posexplode("unit").alias("i", "v")).select(
         "vec_id", F.col("i").cast("int").alias("i"), round6("v").alias("v"))

@@ -74,6 +74,8 @@ def register_tables(spark: SparkSession, sf_dir: str) -> bool:
     """Expose the driver tables as temp views (lazy parquet scans).
     Returns False when this session already has views for ``sf_dir``."""
     sf_dir = sf_dir.rstrip("/")
+    # frame times are zone-less; every conversion to epoch time assumes UTC
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if _REGISTERED.get(id(spark)) == sf_dir and spark.catalog.tableExists(TABLES[-1]):
         return False
     for t in TABLES:
