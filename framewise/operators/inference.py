@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..session import ship_package
+
 
 def score_in_batches(df: DataFrame, model_factory: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
                      out_schema, batch_size: int = 32, one_to_one: bool = True) -> DataFrame:
@@ -21,6 +23,8 @@ def score_in_batches(df: DataFrame, model_factory: Callable[[], Callable[[pd.Dat
     models that emit any number of rows per input (detectors).
     """
 
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = model_factory()
         for pdf in batches:

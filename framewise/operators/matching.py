@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vectors as V
+from ..session import ship_package
 from .assignment import min_cost_matching
 from .motion import mahalanobis_pairs
 from .sorted_groups import iter_groups, python_parallelism
@@ -87,6 +88,7 @@ def match_min_cost(edges: DataFrame, max_distance: float, keys=("camera_id", "fr
     Returns the matched pairs with their cost."""
     keys = list(keys)
     cols = keys + [left, right, cost] + ([level] if level else [])
+    ship_package(edges.sparkSession)
     e = edges.where(F.col(cost) <= max_distance).select(*cols)
     e = e.repartition(python_parallelism(e), *keys)
     wl = Window.partitionBy(*keys, left)

@@ -15,6 +15,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..session import ship_package
+
 
 def python_parallelism(df: DataFrame) -> int:
     """Partition count for CPU-bound Python stages.  Their shuffle input is
@@ -47,6 +49,7 @@ def map_sorted_groups(df: DataFrame, keys, order, fn: Callable[[pd.DataFrame], p
     """
     keys, order = list(keys), list(order)
     fn_static = fn
+    ship_package(df.sparkSession)
     parted = df.repartition(num_partitions or python_parallelism(df), *keys)
     ordered = parted.sortWithinPartitions(*(keys + order))
 

@@ -12,6 +12,7 @@ from ..operators import matching as A
 from ..operators import motion as K
 from ..operators import vectors as VO
 from . import kalman_sql as KS
+from ..session import register_tables
 from .fixtures import duck_with, fixture
 from .registry import query
 
@@ -26,7 +27,8 @@ from (select vec_id, unnest(cast(embedding as double[])) as v,
       from embeddings) t
 """)
 def q_v1(spark, sf):
-    e = fixture(spark, sf, "fx_queries") and spark.table("embeddings")
+    register_tables(spark, sf)
+    e = spark.table("embeddings")
     n = VO.l2_normalize(e, "embedding", eps=1e-8, out="unit")
     return n.select("vec_id", F.posexplode("unit").alias("i", "v")).select(
         "vec_id", F.col("i").cast("int").alias("i"), round6("v").alias("v"))

@@ -41,6 +41,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -67,6 +68,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/framewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``framewise`` importable in Python workers (once per context):
+    pandas stages reference package functions, so workers must import it.
+    The package is zipped and added with ``addPyFile``, which distributes it
+    to every executor."""
+    sc = spark.sparkContext
+    key = (id(sc), sc.applicationId)
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="framewise-pkg-"), "framewise.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 _REGISTERED: dict[int, str] = {}
 
 
@@ -76,6 +103,7 @@ def register_tables(spark: SparkSession, sf_dir: str) -> bool:
     sf_dir = sf_dir.rstrip("/")
     # frame times are zone-less; every conversion to epoch time assumes UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     if _REGISTERED.get(id(spark)) == sf_dir and spark.catalog.tableExists(TABLES[-1]):
         return False
     for t in TABLES:
