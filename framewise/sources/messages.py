@@ -62,10 +62,12 @@ def parse_frame_messages(df: DataFrame, value_col: str = "value") -> tuple[DataF
     column passes through.  No row is silently dropped.
     """
     v = F.col(value_col)
-    parsed = F.from_json(v, FRAME_JSON_SCHEMA)
+    # one parse: malformed text (truncated, not an object) lands in _corrupt
+    parsed = F.from_json(v, FRAME_JSON_SCHEMA + ", _corrupt string",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     ts = F.try_to_timestamp(parsed["timestamp"], F.lit(FRAME_TIME_FORMAT))
     img = F.try_to_binary(parsed["image"], F.lit("base64"))
-    reason = (F.when(F.try_parse_json(v).isNull() | parsed.isNull(), F.lit("bad_json"))
+    reason = (F.when(v.isNull() | parsed.isNull() | parsed["_corrupt"].isNotNull(), F.lit("bad_json"))
               .when(parsed["camera_id"].isNull(), F.lit("missing_camera"))
               .when(ts.isNull(), F.lit("bad_time"))
               .when(parsed["image"].isNull() | img.isNull(), F.lit("bad_base64")))
