@@ -9,15 +9,17 @@ from dataclasses import dataclass
 class TrackerConfig:
     """Association and track-management parameters.
 
-    ``budget`` bounds the appearance gallery per track (None keeps every
-    sample, which is only sensible for bounded batch inputs).
+    ``budget`` optionally bounds the appearance gallery per track (keep
+    the most recent samples).  The default ``None`` keeps every sample of a
+    live track, as the reference pipeline does; set a budget to bound
+    streaming state when tracks live very long (results may then differ).
     """
 
     max_cosine: float = 0.3
     max_iou: float = 0.7
     max_age: int = 30
     n_init: int = 3
-    budget: int | None = 100
+    budget: int | None = None
     nms_overlap: float = 1.0
     only_position: bool = False
 
