@@ -68,3 +68,13 @@ def test_iou_pairs_symmetric_and_bounded(spark):
     for (f, a, b), v in fwd.items():
         assert np.isclose(fwd[(f, b, a)], v)
     assert all(np.isclose(v, 1.0) for (f, a, b), v in fwd.items() if a == b)
+
+
+def test_lifecycle_is_independent_of_bucket_size(spark):
+    from framewise.operators import tracking as TR
+    from framewise.plans.q_tracking import scene_inputs
+    frames, dets = scene_inputs(spark, SF_SMALL)
+    results = [sorted(map(tuple, TR.track_lifecycle(dets, frames, key="camera_no", bucket=b).collect()))
+               for b in (31, 57, 4096)]
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) > 0
