@@ -41,30 +41,45 @@ def latest_frame_per_camera(df: DataFrame, order_cols=("frame_ts", "event_id"),
             .select(*keys, "_row.*"))
 
 
+def _dense_rank(df: DataFrame, key: str, order: str, bucket: int) -> DataFrame:
+    """Rank rows per key by ``order`` (1, 2, ...) without one window per key:
+    local row numbers per (key, order div bucket) plus a carried count of the
+    key's earlier buckets (a small per-bucket summary)."""
+    b = F.floor(col(order) / bucket)
+    d = df.withColumn("_rb", b)
+    d = d.withColumn("_rl", F.row_number().over(Window.partitionBy(key, "_rb").orderBy(order)))
+    summ = d.groupBy(key, "_rb").agg(F.count(F.lit(1)).alias("_n"))
+    wb = Window.partitionBy(key).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(key, "_rb", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_carry"))
+    return d.join(summ, [key, "_rb"]).withColumn("_rank", F.col("_rl") + F.col("_carry")) \
+            .drop("_rb", "_rl", "_carry")
+
+
 def frame_rate(frames: DataFrame, n: int = 10, key: str = "camera_id",
                order: str = "frame_no", ts: str = "frame_ts",
                bucket: int = 4096) -> DataFrame:
     """Per frame: seconds since the previous frame, ``fps = 1/dt`` and the
-    mean fps over the last ``n`` frames.
+    mean fps over the last ``n`` frames (previous rows, so holes in the frame
+    numbering are fine).
 
-    Needs dense per-key frame numbers.  Rows are windowed per
-    ``(key, frame_no div bucket)`` with the last ``n`` frames of the previous
-    bucket copied in as a halo, so one busy camera spreads over many tasks
-    instead of one sort of its whole history.
+    Frames are first ranked per camera (two-level count, no per-camera
+    window).  Rows are then windowed per ``(key, rank div bucket)`` with the
+    last ``n`` ranks of the previous bucket copied in as a halo, so one busy
+    camera spreads over many tasks instead of one sort of its whole history.
     """
     halo = n
     if bucket <= halo:
         raise ValueError("bucket must exceed n")
-    o = col(order)
-    shifts = F.when(o % bucket >= bucket - halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = (frames.select(key, order, ts)
-            .withColumn("_shift", F.explode(shifts))
-            .withColumn("_bucket", F.floor(o / bucket) + F.col("_shift")))
-    w = Window.partitionBy(key, "_bucket").orderBy(order)
+    rows = _dense_rank(frames.select(key, order, ts), key, order, bucket)
+    r = F.col("_rank")
+    shifts = F.when(r % bucket >= bucket - halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = (rows.withColumn("_shift", F.explode(shifts))
+                .withColumn("_bucket", F.floor(r / bucket) + F.col("_shift")))
+    w = Window.partitionBy(key, "_bucket").orderBy("_rank")
     dt = (epoch_micros(ts) - F.lag(epoch_micros(ts)).over(w)) / F.lit(1e6)
     rows = rows.withColumn("dt_s", dt).withColumn("fps", F.try_divide(F.lit(1.0), F.col("dt_s")))
     rows = rows.withColumn("fps_avg", F.avg("fps").over(w.rowsBetween(-(n - 1), 0)))
-    return rows.where(F.col("_shift") == 0).drop("_shift", "_bucket")
+    return rows.where(F.col("_shift") == 0).drop("_shift", "_bucket", "_rank")
 
 
 def processing_latency(frames: DataFrame, results: DataFrame, key: str = "camera_id",

@@ -78,3 +78,17 @@ def test_lifecycle_is_independent_of_bucket_size(spark):
                for b in (31, 57, 4096)]
     assert results[0] == results[1] == results[2]
     assert len(results[0]) > 0
+
+
+def test_frame_rate_with_holes_matches_plain_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from framewise.operators.frames import frame_rate
+    fr = fixture(spark, SF_SMALL, "fx_frames").where(F.col("event_id") % 3 != 0)   # holes in frame numbers
+    got = frame_rate(fr, n=4, bucket=16).select("camera_id", "frame_no", F.round("fps_avg", 6).alias("a"))
+    w = Window.partitionBy("camera_id").orderBy("frame_no")
+    us = F.unix_micros(F.col("frame_ts").cast("timestamp"))
+    ref = fr.withColumn("fps", F.try_divide(F.lit(1e6), us - F.lag(us).over(w))) \
+            .withColumn("a", F.round(F.avg("fps").over(w.rowsBetween(-3, 0)), 6)).select("camera_id", "frame_no", "a")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
