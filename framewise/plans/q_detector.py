@@ -3,7 +3,6 @@ geometry and batched scoring, label assignment and loss."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -393,5 +392,3 @@ def q_l2(spark, sf):
     return loss.select("image_id", F.col("level").cast("int").alias("level"),
                        *[round6(c).alias(c) for c in ("box_loss", "conf_loss", "class_loss")])
 
-
-__all__ = ["np"]
