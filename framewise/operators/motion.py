@@ -80,17 +80,17 @@ def gate_pairs(pairs: DataFrame, gate: DataFrame, on, cost: str = "cost") -> Dat
 _FIELDS = KF.STATE_FIELDS
 
 
-def _filter_series(pdf: pd.DataFrame, key: str, frame: str, z_cols) -> pd.DataFrame:
+def _filter_series(pdf: pd.DataFrame, key: str, frame: str, z_cols, state: dict) -> pd.DataFrame:
     """Initiate at the first observation, then predict once per frame and
-    correct at each observation.  Per-row scalar loop over an ordered batch."""
-    n = len(pdf)
+    correct at each observation.  Rows arrive ordered by (key, frame) in
+    batches; ``state`` carries the current series across batch boundaries, so
+    no series is ever held whole."""
     keys = pdf[key].to_numpy()
     frames = pdf[frame].to_numpy()
     Z = pdf[list(z_cols)].to_numpy(dtype=float)
-    st = None
-    prev_key, prev_frame = object(), None
     res_keys, res_frames, res_obs, res_state = [], [], [], []
-    for i in range(n):
+    st, prev_key, prev_frame = state.get("st"), state.get("key", object()), state.get("frame")
+    for i in range(len(pdf)):
         k, f, z = keys[i], int(frames[i]), Z[i]
         if k != prev_key:
             st = _init(z)
@@ -107,6 +107,7 @@ def _filter_series(pdf: pd.DataFrame, key: str, frame: str, z_cols) -> pd.DataFr
         res_obs.append(True)
         res_state.append(st.copy())
         prev_key, prev_frame = k, f
+    state.update(st=st, key=prev_key, frame=prev_frame)
     arr = np.array(res_state).reshape(-1, 4, 5)   # axis x (p, v, pp, pv, vv)
     res = pd.DataFrame({key: res_keys, frame: res_frames, "observed": res_obs})
     for ai, a in enumerate(KF.AXES):
@@ -151,14 +152,16 @@ def kalman_filter_tracks(obs: DataFrame, key: str = "track_id", frame: str = "fr
     """Filtered state per frame of each observation series (one row per
     frame from the first to the last observation; ``observed`` marks frames
     with a measurement).  A recurrence, so each series is processed in frame
-    order inside one task; partitions stream through in Arrow batches."""
+    order inside one task; partitions stream through in Arrow batches and
+    only the current state (20 numbers) crosses batch boundaries."""
     key_type = obs.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField(frame, T.LongType()),
                            T.StructField("observed", T.BooleanType())]
                           + [T.StructField(f, T.DoubleType()) for f in _FIELDS])
     src = obs.select(key, F.col(frame).cast("long").alias(frame), *[F.col(c).cast("double") for c in z])
 
-    def fn(pdf):
-        return _filter_series(pdf, key, frame, z)
+    def make_fn():
+        state: dict = {}
+        return lambda pdf: None if pdf is None else _filter_series(pdf, key, frame, z, state)
 
-    return map_sorted_groups(src, [key], [frame], fn, schema)
+    return map_sorted_groups(src, [key], [frame], schema, make_fn)

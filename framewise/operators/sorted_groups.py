@@ -2,10 +2,9 @@
 
 ``repartition(keys)`` + ``sortWithinPartitions(keys + order)`` + one
 ``mapInPandas``: rows of a group arrive contiguous and in order, Arrow
-batches stream through, and only the unfinished tail group of a batch is
-carried to the next one.  Many groups are handled per call (no per-group
-Python invocation), and memory is bounded by one batch plus one group's tail
-(or by the caller's own state when ``whole_groups=False``).
+batches stream through, and the caller's function keeps only its per-key
+state between batches.  Many groups are handled per call (no per-group
+Python invocation); memory is bounded by one batch plus that state.
 """
 
 from __future__ import annotations
@@ -34,54 +33,33 @@ def _group_breaks(pdf: pd.DataFrame, keys: list[str]) -> pd.Series:
     return changed
 
 
-def map_sorted_groups(df: DataFrame, keys, order, fn: Callable[[pd.DataFrame], pd.DataFrame] | None,
-                      schema, num_partitions: int | None = None,
-                      whole_groups: bool = True,
-                      fn_factory: Callable[[], Callable] | None = None) -> DataFrame:
-    """Apply ``fn`` to pandas frames holding complete, ordered groups.
+def map_sorted_groups(df: DataFrame, keys, order, schema,
+                      fn_factory: Callable[[], Callable[[pd.DataFrame | None], pd.DataFrame | None]],
+                      num_partitions: int | None = None) -> DataFrame:
+    """Stream key-ordered partitions through a stateful pandas function.
 
-    With ``whole_groups=False`` batches are passed as they come (still in
-    order) and ``fn(None)`` marks the end of the partition; ``fn`` must then
-    carry per-group state itself, which lets a very long group (one busy
-    camera) stream through without being held.  Stateful functions come from
-    ``fn_factory``, called once per partition, so a retried task never sees
-    state left over from an earlier attempt in a reused Python worker.
+    ``fn_factory()`` is called once per partition and returns ``fn``; ``fn``
+    receives the ordered Arrow batches as they come and ``None`` at the end
+    of the partition, and carries whatever per-key state it needs across
+    batch boundaries (a recurrence keeps its current state, never the group).
+    A fresh function per partition means a retried task never sees state
+    left over from an earlier attempt in a reused Python worker.
     """
     keys, order = list(keys), list(order)
-    fn_static = fn
     ship_package(df.sparkSession)
     parted = df.repartition(num_partitions or python_parallelism(df), *keys)
     ordered = parted.sortWithinPartitions(*(keys + order))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = fn_factory() if fn_factory is not None else fn_static
-        if not whole_groups:
-            for pdf in batches:
-                if len(pdf):
-                    out = fn(pdf)
-                    if out is not None and len(out):
-                        yield out
-            done = fn(None)
-            if done is not None and len(done):
-                yield done
-            return
-        carry = None
+        fn = fn_factory()
         for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            starts = _group_breaks(pdf, keys)
-            last_start = int(starts[starts].index[-1]) if starts.any() else 0
-            ready, carry = pdf.iloc[:last_start], pdf.iloc[last_start:].reset_index(drop=True)
-            if len(ready):
-                out = fn(ready.reset_index(drop=True))
+            if len(pdf):
+                out = fn(pdf)
                 if out is not None and len(out):
                     yield out
-        if carry is not None and len(carry):
-            out = fn(carry)
-            if out is not None and len(out):
-                yield out
+        done = fn(None)
+        if done is not None and len(done):
+            yield done
 
     return ordered.mapInPandas(run, schema)
 

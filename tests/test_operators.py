@@ -92,3 +92,18 @@ def test_frame_rate_with_holes_matches_plain_window(spark):
     ref = fr.withColumn("fps", F.try_divide(F.lit(1e6), us - F.lag(us).over(w))) \
             .withColumn("a", F.round(F.avg("fps").over(w.rowsBetween(-3, 0)), 6)).select("camera_id", "frame_no", "a")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_tiny_arrow_batches_give_same_results(spark):
+    """Carried state across Arrow batch boundaries (series filter, tracker)."""
+    import __spark_entry__ as entry
+    names = ["k5_kalman_filter_tracks", "t1_track_batch"]
+    normal = {n: sorted(map(tuple, entry.queries()[n](spark, SF_SMALL).collect())) for n in names}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        tiny = {n: sorted(map(tuple, entry.queries()[n](spark, SF_SMALL).collect())) for n in names}
+    finally:
+        spark.conf.set(key, old)
+    assert tiny == normal
