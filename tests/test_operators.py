@@ -107,3 +107,15 @@ def test_tiny_arrow_batches_give_same_results(spark):
     finally:
         spark.conf.set(key, old)
     assert tiny == normal
+
+
+def test_invalid_metric_and_budget_are_rejected(spark):
+    import pytest
+
+    from framewise.operators import vectors as VO
+    q = spark.createDataFrame([(1, 1, [1.0, 0.0])], "camera_id long, query_id long, q_feature array<double>")
+    g = spark.createDataFrame([(1, 7, 1, [1.0, 0.0])], "camera_id long, target_id long, seq long, g_feature array<double>")
+    with pytest.raises(ValueError):
+        VO.nearest_gallery_distance(q, g, metric="manhattan")
+    with pytest.raises(ValueError):
+        VO.gallery_update(g, g, g, budget=0)
