@@ -119,3 +119,26 @@ def test_invalid_metric_and_budget_are_rejected(spark):
         VO.nearest_gallery_distance(q, g, metric="manhattan")
     with pytest.raises(ValueError):
         VO.gallery_update(g, g, g, budget=0)
+
+
+def test_grid_join_equals_brute_force_on_awkward_boxes(spark):
+    import random
+
+    from framewise.operators import geometry as G
+    rnd = random.Random(5)
+    boxes = []
+    for i in range(120):
+        x, y = rnd.choice([-40.0, 0.0, 16.0, 31.5]) + rnd.randint(-20, 60), rnd.randint(-30, 60) * 1.0
+        w, h = rnd.choice([0.0, 1.0, 16.0, 40.0, 95.5, rnd.randint(1, 70) * 1.0]), rnd.choice([0.0, 16.0, 33.0, 80.0])
+        boxes.append(("c", 1, i, x, y, w, h))
+    boxes += [("c", 1, 500, 0.0, 0.0, 16.0, 16.0), ("c", 1, 501, 16.0, 0.0, 16.0, 16.0)]   # touching edges
+    df = spark.createDataFrame(boxes, "camera_id string, frame_no long, id long, x double, y double, w double, h double")
+    left = df.select("camera_id", "frame_no", F.col("id").alias("a"), *[F.col(c).alias("l_" + c) for c in "xywh"])
+    right = df.select("camera_id", "frame_no", F.col("id").alias("b"), *[F.col(c).alias("r_" + c) for c in "xywh"])
+    got = {(r.a, r.b) for r in G.pairwise_iou(left, right, cell=16.0).collect()}
+    want = set()
+    for _, _, i, x, y, w, h in boxes:
+        for _, _, j, u, v, p, q in boxes:
+            if max(x, u) < min(x + w, u + p) and max(y, v) < min(y + h, v + q):
+                want.add((i, j))
+    assert got == want
