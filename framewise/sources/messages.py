@@ -32,14 +32,7 @@ def read_frame_messages(spark: SparkSession, source: str = "kafka", path: str |
         r = reader.format("kafka").option("subscribe", topic)
         for k, v in opts.items():
             r = r.option(k, v)
-        try:
-            df = r.load()
-        except Exception as e:  # connector jar absent on this cluster
-            if "kafka" in str(e).lower() and ("find" in str(e).lower() or "not found" in str(e).lower()):
-                raise RuntimeError(
-                    "Kafka source is not deployed (spark-sql-kafka not on the classpath); use "
-                    "source='text'|'json'|'parquet' with the same downstream plan") from e
-            raise
+        df = _kafka_gated(r.load)
         return df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
                          "topic", "partition", "offset", F.col("timestamp").alias("arrival_ts"))
     r = reader.format(source)
@@ -52,6 +45,19 @@ def read_frame_messages(spark: SparkSession, source: str = "kafka", path: str |
     return r.load(path)
 
 
+def _kafka_gated(action):
+    """Run a Kafka read/write; a missing connector becomes a clear error."""
+    try:
+        return action()
+    except Exception as e:  # connector jar absent on this cluster
+        msg = str(e).lower()
+        if "kafka" in msg and ("find" in msg or "not found" in msg):
+            raise RuntimeError(
+                "Kafka source is not deployed (spark-sql-kafka not on the classpath); use a file "
+                "source/sink ('text', 'json', 'parquet') with the same plan") from e
+        raise
+
+
 def frame_message_value(camera_id: Column | None, ts: Column, image: Column) -> Column:
     """Serialise a frame message (producer side)."""
     fields = [F.date_format(ts, FRAME_TIME_FORMAT).alias("timestamp"), F.base64(image).alias("image")]
@@ -117,12 +123,12 @@ def publish_positions(df: DataFrame, sink: str = "kafka", path: str | None = Non
             out = out.select("value")
         for k, v in opts.items():
             w = w.option(k, v)
-        return w.start()
+        return _kafka_gated(w.start) if sink == "kafka" else w.start()
     if sink == "kafka":
         w = out.write.format("kafka").option("topic", topic)
         for k, v in opts.items():
             w = w.option(k, v)
-        w.save()
+        _kafka_gated(w.save)
     else:
         out.select("value").write.mode("overwrite").text(path)
     return None
