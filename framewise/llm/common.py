@@ -93,3 +93,27 @@ def bounded_rows(df: DataFrame, most: int) -> list:
     if len(rows) > most:
         raise ValueError(f"expected at most {most} rows")
     return rows
+
+
+class WordCache(dict):
+    """chunk of text -> ``make(chunk)``, kept for as long as there is room: two
+    generations of at most ``most`` entries bound the memory of a task."""
+
+    def __init__(self, make, most: int = 300_000):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, chunk):
+        value = self.old.get(chunk)
+        if value is None:
+            value = self.make(chunk)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = value
+        return value
+
+
+def chunks(text: str) -> list[str]:
+    """The runs between blanks and line ends, empty ones included."""
+    return text.replace("\n", " ").split(" ")
