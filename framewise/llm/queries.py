@@ -8,8 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_documents
 from .language_id import op10_language_id
+from .packing import pack_documents
+from .quality import op8_quality
+from .token_counts import op7_token_counts
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": lambda spark, sf_dir: pack_documents(read_documents(spark, sf_dir)),
+    "op7_token_counts": lambda spark, sf_dir: op7_token_counts(read_documents(spark, sf_dir)),
+    "op8_quality": lambda spark, sf_dir: op8_quality(read_documents(spark, sf_dir), _table(spark, sf_dir, "labels")),
     "op10_language_id": lambda spark, sf_dir: op10_language_id(read_documents(spark, sf_dir)),
 }
 

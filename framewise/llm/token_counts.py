@@ -63,16 +63,19 @@ class Counter:
         self.bytes = {b for b in range(256) if f"<0x{b:02X}>" in names} if vocabulary.byte_fallback else set()
         self.single = {p for i, (p, _) in enumerate(vocabulary.pieces) if len(p) == 1 and i != vocabulary.unknown}
         self.joined = {p[i:i + 2] for p in names for i in range(len(p) - 1)}  # neighbours inside some piece
-        self.cache, self.parts = WordCache(self.count_word), WordCache(self.count_part)
+        # ids of a line end that no piece holds and that its byte piece stands for; 0: it is no certain cut
+        self.line_end = int(10 in self.bytes and not any("\n" in p for p in names))
+        self.cache = WordCache(self.count_word)
 
     def count_word(self, word: str) -> int:
         """Ids of one word, its mark included.  Between two known characters
-        that stand together in no piece every segmentation has a cut, so the
-        stretches between such cuts count alone."""
-        if not self.single.issuperset(word):
-            return self.count_any(word)
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.joined]
-        return sum(map(self.parts.__getitem__, (word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True))))
+        that stand together in no piece every segmentation has a cut; so marks
+        at a word's end mostly count alone."""
+        core = word.rstrip(".,!?;:")
+        if core and core != word and word[len(core) - 1:len(core) + 1] not in self.joined:
+            if self.single.issuperset(word[len(core) - 1:]):
+                return self.cache[core] + self.cache[word[len(core):]]
+        return self.count_part(word) if self.single.issuperset(word) else self.count_any(word)
 
     def count_part(self, part: str) -> int:
         """Ids of a stretch of known characters."""
@@ -119,10 +122,15 @@ class Counter:
         """Ids of a whole text; none for null and empty texts."""
         if not text:
             return 0
-        parts = text.replace(MARK, " ").split(" ")
-        if not parts[0]:
-            parts = parts[1:]  # a blank in front is the mark that would be put there
-        return sum(map(self.cache.__getitem__, [MARK + p for p in parts]))
+        lines = text.replace(MARK, " ").split("\n") if self.line_end else [text.replace(MARK, " ")]
+        first, *rest = lines[0].split(" ")
+        # a blank in front is the mark that would be put there
+        words = [MARK + w for w in (rest if rest and not first else [first, *rest])]
+        for line in lines[1:]:
+            first, *rest = line.split(" ")
+            words.append(first)
+            words += [MARK + w for w in rest]
+        return sum(map(self.cache.__getitem__, words)) + (len(lines) - 1) * self.line_end
 
 
 _COUNTERS: dict[str, Counter] = {}
