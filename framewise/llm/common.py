@@ -68,13 +68,14 @@ def split_rank(df: DataFrame, key: str, ident: Column, rows: int, target: int =
     spread over many tasks.  The place is the groups' offset plus the place inside
     the group, ordered by ``order``.  Rows with one ``ident`` share a group.
 
-    The group table has at most ``max(rows / target, 1e6) + keys`` rows;
+    The keys must be few (a bounded number: sources, cells), as their counts are
+    broadcast.  The group table has at most ``max(rows / target, 1e6) + keys`` rows;
     ``target`` grows with ``rows`` to keep that bound.
     """
     target = max(target, math.ceil(rows / 1_000_000))
     keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     keys = keys.select(F.col(key).alias("__k"), F.ceil(F.col("__n") / target).cast("int").alias("__splits"))
-    held = df.join(keys, df[key] == F.col("__k"), "left").drop("__k")
+    held = df.join(F.broadcast(keys), df[key] == F.col("__k"), "left").drop("__k")
     held = held.withColumn("__sub", F.pmod(F.xxhash64(ident), F.col("__splits")).cast("int")).drop("__splits")
     groups = held.groupBy(key, "__sub").agg(F.count(F.lit(1)).alias("__g"))
     before = Window.partitionBy(key).orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)

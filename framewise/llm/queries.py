@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_documents
+from .fingerprints import op9_spotsigs
 from .language_id import op10_language_id
+from .mixing import op6_mix
+from .near_duplicates import op5_jaccard
 from .packing import pack_documents
+from .personal_data import op3_personal_data
 from .quality import op8_quality
+from .quality_rules import op4_rules
+from .sharding import op1_hilbert
 from .token_counts import op7_token_counts
 
 
@@ -17,11 +23,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _over_documents(operator) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_packing": lambda spark, sf_dir: pack_documents(read_documents(spark, sf_dir)),
-    "op7_token_counts": lambda spark, sf_dir: op7_token_counts(read_documents(spark, sf_dir)),
+    "op1_hilbert_shards": _over_documents(op1_hilbert),
+    "op2_packing": _over_documents(pack_documents),
+    "op3_personal_data": _over_documents(op3_personal_data),
+    "op4_quality_rules": _over_documents(op4_rules),
+    "op5_jaccard_join": _over_documents(op5_jaccard),
+    "op6_source_mix": _over_documents(op6_mix),
+    "op7_token_counts": _over_documents(op7_token_counts),
     "op8_quality": lambda spark, sf_dir: op8_quality(read_documents(spark, sf_dir), _table(spark, sf_dir, "labels")),
-    "op10_language_id": lambda spark, sf_dir: op10_language_id(read_documents(spark, sf_dir)),
+    "op9_spotsigs": _over_documents(op9_spotsigs),
+    "op10_language_id": _over_documents(op10_language_id),
 }
 
 ORACLES: dict[str, str] = {}
