@@ -121,9 +121,12 @@ def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "sour
     place = {r["s"]: i for i, r in enumerate(named)}
     spark = docs.sparkSession
     mapped = spark.createDataFrame([(s, i) for s, i in place.items()], "__s string, __src int")
-    out = docs.drop("position").join(F.broadcast(mapped), F.col(source_col).cast("string").eqNullSafe(F.col("__s")), "left").drop("__s")
-    out = out.withColumn("__src", F.coalesce("__src", F.lit(len(named))))
-    out = split_rank(out, "__src", F.struct(*ident), rows, order=[F.col(c) for c in ident])
+    kept = [c for c in docs.columns if c.lower() != "position"]
+    # the row's own columns travel as one, so that their names meet no other
+    out = docs.select(F.struct(*kept).alias("__row"), F.col(source_col).cast("string").alias("__source"), F.struct(*ident).alias("__id"))
+    out = out.join(F.broadcast(mapped), F.col("__source").eqNullSafe(F.col("__s")), "left")
+    out = out.select("__row", "__id", F.coalesce("__src", F.lit(len(named))).alias("__src"))
+    out = split_rank(out, "__src", F.col("__id"), rows)
     blocks = [-(-n // block) for n in counts]
     segments, slots = schedule(blocks, target, period)
     # slots that a short last block leaves empty, by the block's place
@@ -146,13 +149,13 @@ def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "sour
     out = out.withColumn("__b", F.expr(f"__start + (__in div __share) * {period} + __slot"))
     lost = sum((F.when(F.col("__b") > at, size).otherwise(0) for at, size in gaps), F.lit(0))
     out = out.withColumn("position", F.col("__b") * block + F.expr(f"rank % {block}") - lost)
-    return out.select(*[c for c in docs.columns if c != "position"], F.col("position").cast("long").alias("position"))
+    return out.select("__row.*", F.col("position").cast("long"))
 
 
-def in_mixed_order(docs: DataFrame, ident: list[str], **params) -> DataFrame:
+def in_mixed_order(docs: DataFrame, ident: list[str], source_col: str = "source", **params) -> DataFrame:
     """The rows in mixed order, with the columns of ``docs`` alone."""
-    mixed = mix(docs, ident, **params)
-    return mixed.orderBy("position").select(*docs.columns)
+    held = docs.select(F.struct(*docs.columns).alias("row"), F.col(source_col), *ident)
+    return mix(held, ident, source_col=source_col, **params).orderBy("position").select("row.*")
 
 
 def op6_mix(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import WordCache, stored
+from .common import WordCache, free_name, stored
 from .graph import connected_components
 
 SHINGLE = 5
@@ -386,8 +386,9 @@ def one_of_each_group(docs: DataFrame, **params) -> DataFrame:
         return kept
     rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
     again = kept.join(twice, on(twice), "left_semi")
-    again = again.withColumn("__rn", F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*rest, "doc_id")))
-    return kept.join(twice, on(twice), "left_anti").union(again.filter("__rn = 1").drop("__rn"))
+    place = free_name(docs, "place")
+    again = again.withColumn(place, F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*rest, "doc_id")))
+    return kept.join(twice, on(twice), "left_anti").union(again.filter(F.col(place) == 1).drop(place))
 
 
 def op5_jaccard(docs: DataFrame) -> DataFrame:

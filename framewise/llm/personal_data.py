@@ -85,6 +85,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def doubtful(text: str) -> list[tuple[int, int]]:
+    """Long numbers that a pattern matched and its test turned down: what they hold is unlabelled."""
+    return [(m.start(), m.end()) for kind, form in (("card", _CARD), ("phone", _PHONE)) for m in form.finditer(text)
+            if not valid(kind, m[0]) and sum("0" <= c <= "9" for c in m[0]) >= 10]
+
+
 def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
@@ -306,7 +312,7 @@ def _whole(kind: str, s: str) -> bool:
     return bool(_WHOLE[kind].fullmatch(s)) and valid(kind, s)
 
 
-def train(rows: list[tuple[bytes, bytes]], steps: int = 300, batch: int = 48, rate: float = 0.02, seed: int = 5) -> Tagger | None:
+def train(rows: list[tuple[bytes, bytes]], steps: int = 160, batch: int = 48, rate: float = 0.02, seed: int = 5) -> Tagger | None:
     """Fit on windows (classes, tags); None if no window holds a span."""
     if not rows or not any(any(t) for _, t in rows):
         return None
@@ -332,7 +338,8 @@ def train(rows: list[tuple[bytes, bytes]], steps: int = 300, batch: int = 48, ra
 
 def fit_tagger(docs: DataFrame, windows: int = 1500, text_col: str = "text") -> Tagger | None:
     """Train on ``windows`` labelled windows (a documented bound): those with the
-    least hash among all windows around digits and at signs of the whole table.
+    least hash among all windows around digits and at signs of the whole table,
+    without those in which a pattern matched a long number but turned it down.
     Characters in two spans take the earlier kind's tag."""
 
     def step(batches):
@@ -340,13 +347,15 @@ def fit_tagger(docs: DataFrame, windows: int = 1500, text_col: str = "text") ->
             out = []
             for text in b["text"]:
                 spans = base_spans(text)
-                tags = np.zeros(len(text), np.int8)
+                tags, unsure = np.zeros(len(text), np.int8), doubtful(text)
                 for a, k, e in reversed(spans):
                     tags[a:e] = 2 + 2 * k
                     tags[a] = 1 + 2 * k
                 for a, e in stretches(text):
                     x = classes(text[a:e])
                     for w in _window_starts(len(x)):
+                        if any(p < a + w + WINDOW and a + w < q for p, q in unsure):
+                            continue
                         ids, y = np.zeros(WINDOW, np.int8), np.zeros(WINDOW, np.int8)
                         part = tags[a + w:min(a + w + WINDOW, e)].copy()
                         if part[0] and part[0] % 2 == 0:  # a span that began before the window begins with it here

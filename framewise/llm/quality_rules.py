@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, stored
+from .common import SPACES, free_name, let, stored
 
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -90,8 +90,9 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add n_words, n_repeat_words and the COUNTS; null texts count nothing."""
     text = F.col(text_col)
     both = let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
-    made = docs.withColumn("__words", both).withColumns({n: f(text) for n, f in COUNTS.items()})
-    return made.withColumns({n: F.col("__words")[n] for n in ("n_words", "n_repeat_words")}).drop("__words")
+    held = free_name(docs, "words")
+    made = docs.withColumn(held, both).withColumns({n: f(text) for n, f in COUNTS.items()})
+    return made.withColumns({n: F.col(held)[n] for n in ("n_words", "n_repeat_words")}).drop(held)
 
 
 @dataclass(frozen=True)

@@ -101,15 +101,16 @@ def hilbert_order(df: DataFrame, dims: list[str], ident: list[str], bits: int =
     stand next to each other; an empty table gives an empty one.
     """
     cell, n = curve_cells(df, dims, bits)
-    held = df.withColumn("__cell", cell)
+    # the row's own columns travel as one, so that their names meet no other
+    held = df.select(F.struct(*df.columns).alias("__row"), F.struct(*ident).alias("__id"), cell.alias("__cell"))
     coords = [F.shiftright(F.col("__c"), bits * (len(dims) - 1 - i)).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(len(dims))]
     cells = held.groupBy(F.col("__cell").alias("__c")).agg(F.count(F.lit(1)).alias("__rows"))
     cells = cells.withColumn("curve", hilbert_index(coords, bits))
     before = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)  # at most 2^(bits * dims) rows
     cells = cells.withColumn("__start", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__rows")
-    ranked = split_rank(held, "__cell", F.struct(*ident), n, order=[F.col(c) for c in ident])
+    ranked = split_rank(held, "__cell", F.col("__id"), n)
     out = ranked.join(F.broadcast(cells), ranked["__cell"] == cells["__c"])
-    return out.withColumn("rank", F.col("rank") + F.col("__start")).drop("__cell", "__c", "__start"), n
+    return out.select("__row.*", "curve", (F.col("rank") + F.col("__start")).alias("rank")), n
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], ident: list[str], shards: int = 8, bits: int = 5) -> DataFrame:
