@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,13 +20,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Build (or reuse) a session with the settings the operators assume.
 
     UTC session time, AQE with partition coalescing and skew-join splitting,
-    Arrow for the pandas crossings, no UI server.  ``spark.checkpoint.dir`` is
-    respected when the cluster sets it; only a local test session gets a
-    private scratch directory.
+    Arrow for the pandas crossings, no UI server.  The master and the number of
+    shuffle partitions are left to the cluster's configuration unless given
+    (``SPARK_MASTER`` counts as given).  ``spark.checkpoint.dir`` is respected
+    when the cluster sets it; only a local session gets a private directory.
     """
-    master = master or os.environ.get("SPARK_MASTER", "local[*]")
+    builder = SparkSession.builder
+    master = master or os.environ.get("SPARK_MASTER")
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -33,7 +40,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
     for k, v in (extra or {}).items():
@@ -46,9 +52,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a private one only if
-    the session has none (local tests).  On a cluster the setting names a
-    shared file system; a machine-local folder would not survive executor loss.
+    """Return the shared checkpoint directory of the session.
+
+    A session on one machine (master ``local...``) that names none gets a
+    private one.  Elsewhere executors would each write to their own disk, so a
+    missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +64,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share "
+                           f"(master {sc.master} has more than one machine)")
     local = tempfile.mkdtemp(prefix="framewise-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
