@@ -41,18 +41,3 @@ def iou_tlwh(ax, ay, aw, ah, bx, by, bw, bh) -> Column:
     ih = F.greatest(F.lit(0.0), F.least(ay + ah, by + bh) - F.greatest(ay, by))
     inter = iw * ih
     return safe_div(inter, aw * ah + bw * bh - inter)
-
-
-def iou_centre(acx, acy, aw, ah, bcx, bcy, bw, bh) -> Column:
-    """IoU of centre-xywh boxes."""
-    acx, acy, aw, ah, bcx, bcy, bw, bh = map(col, (acx, acy, aw, ah, bcx, bcy, bw, bh))
-    return iou_tlwh(acx - aw / 2, acy - ah / 2, aw, ah, bcx - bw / 2, bcy - bh / 2, bw, bh)
-
-
-def own_area_overlap(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2) -> Column:
-    """Intersection of box b with box a divided by b's own area, both with the
-    +1 pixel convention (greedy suppression measure)."""
-    ax1, ay1, ax2, ay2, bx1, by1, bx2, by2 = map(col, (ax1, ay1, ax2, ay2, bx1, by1, bx2, by2))
-    w = F.greatest(F.lit(0.0), F.least(ax2, bx2) - F.greatest(ax1, bx1) + 1)
-    h = F.greatest(F.lit(0.0), F.least(ay2, by2) - F.greatest(ay1, by1) + 1)
-    return safe_div(w * h, (bx2 - bx1 + 1) * (by2 - by1 + 1))

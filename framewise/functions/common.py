@@ -30,8 +30,3 @@ def round6(c) -> Column:
 def epoch_micros(c) -> Column:
     """Microseconds since the epoch for TIMESTAMP or TIMESTAMP_NTZ columns."""
     return F.unix_micros(col(c).cast("timestamp"))
-
-
-def trunc_int(c) -> Column:
-    """Truncate toward zero to INT, like Python ``int()`` on a float."""
-    return col(c).cast("int")

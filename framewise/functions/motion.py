@@ -65,7 +65,12 @@ def predict(s) -> Column:
 
 
 def predict_n(s, steps: int) -> Column:
-    """``steps`` predictions folded in one expression (no plan blow-up)."""
+    """``steps`` predictions folded in one expression (no plan blow-up); none
+    for 0."""
+    if steps < 0:
+        raise ValueError("steps must not be negative")
+    if steps == 0:
+        return col(s)
     if steps == 1:
         return predict(s)
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), col(s), lambda acc, _: predict(acc))
@@ -121,13 +126,13 @@ def gating_threshold(only_position: bool = False) -> float:
     return CHI2INV95[2 if only_position else 4]
 
 
-def gate_reach(s, axis: str, only_position: bool = False) -> Column:
+def gate_reach(s, axis: str, threshold: float) -> Column:
     """Half-width, on one axis, of the box that contains every measurement
     inside the gate: each squared term is at most the total, so
     ``|z - p| <= sqrt(threshold * S)`` on every axis."""
     s = col(s)
     r = _noise(s["h"], axis, "r")
-    return F.sqrt(F.lit(gating_threshold(only_position)) * (s[f"pp_{axis}"] + r * r))
+    return F.sqrt(F.lit(threshold) * (s[f"pp_{axis}"] + r * r))
 
 
 def state_tlwh(s) -> dict[str, Column]:

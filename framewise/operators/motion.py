@@ -56,12 +56,17 @@ def mahalanobis_pairs(tracks: DataFrame, dets: DataFrame, keys=("camera_id", "fr
     keys = list(keys)
     thr = max_d2 if max_d2 is not None else KF.gating_threshold(only_position)
     s = F.col(state)
-    rx = F.sqrt(F.lit(thr) * (s["pp_x"] + (F.lit(SP) * s["h"]) ** 2))
-    ry = F.sqrt(F.lit(thr) * (s["pp_y"] + (F.lit(SP) * s["h"]) ** 2))
-    t = (tracks.withColumn("_gx", F.explode(F.sequence(F.floor((s["x"] - rx) / cell), F.floor((s["x"] + rx) / cell))))
-               .withColumn("_gy", F.explode(F.sequence(F.floor((s["y"] - ry) / cell), F.floor((s["y"] + ry) / cell)))))
-    d = dets.withColumn("_gx", F.floor(col(z[0]) / cell)).withColumn("_gy", F.floor(col(z[1]) / cell))
-    j = t.join(d, keys + ["_gx", "_gy"]).drop("_gx", "_gy")
+    rx, ry = KF.gate_reach(s, "x", thr), KF.gate_reach(s, "y", thr)
+    # cells as large as the track's gate box or larger: at most four a track
+    side = F.greatest(rx, ry) * 2 / cell
+    t = tracks.withColumn("_lv", F.when(side > 1, F.ceil(F.log2(side))).otherwise(0).cast("int"))
+    levels = t.agg(F.collect_set("_lv")).scalar()
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("_lv"))
+    t = (t.withColumn("_gx", F.explode(F.sequence(F.floor((s["x"] - rx) / size), F.floor((s["x"] + rx) / size))))
+          .withColumn("_gy", F.explode(F.sequence(F.floor((s["y"] - ry) / size), F.floor((s["y"] + ry) / size)))))
+    d = dets.withColumn("_lv", F.explode(levels))
+    d = d.withColumn("_gx", F.floor(col(z[0]) / size)).withColumn("_gy", F.floor(col(z[1]) / size))
+    j = t.join(d, keys + ["_lv", "_gx", "_gy"]).drop("_lv", "_gx", "_gy")
     j = j.withColumn("d2", KF.gating_distance(state, *z, only_position=only_position))
     return j.where(F.col("d2") <= thr)
 
