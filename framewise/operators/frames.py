@@ -31,14 +31,20 @@ def latest_frame_per_camera(df: DataFrame, order_cols=("frame_ts", "event_id"),
                             keys=("camera_id",)) -> DataFrame:
     """The last-arriving frame per key (load shedding).
 
-    One ``max_by`` aggregate: partial aggregation on the map side means a hot
-    camera ships one row per map task, never its whole backlog.
+    Only keys and order columns are aggregated, on the map side first, so a hot
+    camera ships one small row per map task; the winning rows, images included,
+    are then picked by a join with that table of one row per key.  Rows that tie
+    in all order columns count as one.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*rest), F.struct(*[col(c) for c in order_cols])).alias("_row"))
-            .select(*keys, "_row.*"))
+    keys, order_cols = list(keys), list(order_cols)
+    last = df.groupBy(*keys).agg(F.max(F.struct(*[col(c) for c in order_cols])).alias("_last"))
+    last = last.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_last")
+    same = col(keys[0]).eqNullSafe(F.col("_k0"))
+    for i, k in enumerate(keys[1:], 1):
+        same = same & col(k).eqNullSafe(F.col(f"_k{i}"))
+    for c in order_cols:
+        same = same & col(c).eqNullSafe(F.col(f"_last.{c}"))
+    return df.join(last, same, "left_semi").dropDuplicates(keys)
 
 
 def _dense_rank(df: DataFrame, key: str, order: str, bucket: int) -> DataFrame:
@@ -86,14 +92,17 @@ def processing_latency(frames: DataFrame, results: DataFrame, key: str = "camera
                        frame_key: str = "frame_no", ts: str = "frame_ts",
                        done_ts: str = "done_ts") -> DataFrame:
     """Per camera: frames processed and seconds from frame time to result time
-    (count, mean, min, max).  All decomposable aggregates, so a hot camera is
-    reduced map-side."""
+    (count, mean, min, max, median and 95th percentile by rank).  All aggregates
+    merge, so a hot camera is reduced map-side; the percentiles are sketches of
+    fixed size, exact while a camera has few different latencies."""
     j = frames.select(key, frame_key, ts).join(results.select(key, frame_key, done_ts),
                                                [key, frame_key])
     lat = (epoch_micros(done_ts) - epoch_micros(ts)) / F.lit(1e6)
     return (j.withColumn("latency_s", lat).groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_frames"), F.avg("latency_s").alias("avg_latency_s"),
-                 F.min("latency_s").alias("min_latency_s"), F.max("latency_s").alias("max_latency_s")))
+                 F.min("latency_s").alias("min_latency_s"), F.max("latency_s").alias("max_latency_s"),
+                 F.percentile_approx("latency_s", 0.5, 10_000).alias("p50_latency_s"),
+                 F.percentile_approx("latency_s", 0.95, 10_000).alias("p95_latency_s")))
 
 
 def batch_intake_counts(messages: DataFrame, now, batch_col: str = "batch_id",

@@ -13,7 +13,8 @@ def load_dimensions(spark: SparkSession, classes_path: str, anchors_path: str) -
     Files are read whole (``wholetext``) so line order is explicit and never
     depends on how rows are split into partitions."""
     ct = spark.read.text(classes_path, wholetext=True)
-    lines = F.filter(F.split(F.col("value"), "\r?\n"), lambda s: F.length(F.trim(s)) > 0)
+    # every line counts, blank ones too; only what follows the last line end is no line
+    lines = F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")
     classes = ct.select(F.posexplode(lines).alias("class_id", "class_name")) \
                 .select(F.col("class_id").cast("int"), F.trim("class_name").alias("class_name"))
     at = spark.read.text(anchors_path, wholetext=True)

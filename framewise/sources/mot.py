@@ -9,22 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MOT_COLUMNS = ["frame", "track", "x", "y", "w", "h", "conf", "wx", "wy", "wz"]
-
 
 def read_mot_detections(spark: SparkSession, root: str, detection_root: str | None = None,
                         pattern: str = r"([^/]+)/det/[^/]+$", glob: str = "*/det/det.txt") -> DataFrame:
     """Detection rows of every sequence: ``sequence``, ``frame_no`` (int of
-    column 0), ``x, y, w, h`` (columns 2-5) and all original columns as
-    ``row`` (passed through untouched)."""
+    column 0), ``x, y, w, h`` (columns 2-5) and all columns of the line, however
+    many, as ``row``."""
     base = (detection_root or root).rstrip("/")
-    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in MOT_COLUMNS])
-    df = spark.read.schema(schema).csv(f"{base}/{glob}")
+    lines = spark.read.text(f"{base}/{glob}")
     seq = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return df.select(seq.alias("sequence"), F.col("frame").cast("int").alias("frame_no"),
-                     "x", "y", "w", "h", F.array(*[F.col(c) for c in MOT_COLUMNS]).alias("row"))
+    row = F.transform(F.split("value", ","), lambda c: F.trim(c).try_cast("double"))
+    rows = lines.where(F.trim("value") != "").select(seq.alias("sequence"), row.alias("row"))
+    box = [F.get("row", F.lit(i)).alias(c) for i, c in ((2, "x"), (3, "y"), (4, "w"), (5, "h"))]
+    return rows.select("sequence", F.get("row", F.lit(0)).cast("int").alias("frame_no"), *box, "row")
 
 
 def read_frame_index(spark: SparkSession, root: str, glob: str = "*/img1/*",
@@ -60,10 +57,12 @@ def frame_coverage(dets: DataFrame, frame_index: DataFrame, key: str = "sequence
 
 
 def write_feature_store(df: DataFrame, path: str, key: str = "sequence", frame: str = "frame_no",
-                        row: str = "row", feature: str = "feature") -> None:
+                        row: str = "row", feature: str = "feature", span: int = 4096) -> None:
     """Per sequence, the original detection columns followed by the feature
-    vector, rows in frame order; Parquet partitioned by sequence."""
+    vector, rows in frame order; Parquet partitioned by sequence.  Tasks take
+    stretches of ``span`` frames, so a long sequence is many files."""
     out = df.select(key, frame, F.concat(F.col(row).cast("array<double>"),
                                          F.col(feature).cast("array<double>")).alias("values"))
-    (out.repartition(key).sortWithinPartitions(key, frame)
+    stretch = F.floor(F.col(frame) / span)
+    (out.repartition(F.col(key), stretch).sortWithinPartitions(key, frame)
         .write.mode("overwrite").partitionBy(key).parquet(path))
