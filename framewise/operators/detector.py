@@ -16,11 +16,6 @@ from .geometry import overlapping_pairs
 from .nms import greedy_fold
 
 
-def anchors_frame(spark: SparkSession, anchors=DEFAULT_ANCHORS) -> DataFrame:
-    return spark.createDataFrame([(i, float(w), float(h)) for i, (w, h) in enumerate(anchors)],
-                                 "anchor_id int, anchor_w double, anchor_h double")
-
-
 def classes_frame(spark: SparkSession, names=COCO_CLASSES) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), "class_id int, class_name string")
 

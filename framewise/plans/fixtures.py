@@ -14,8 +14,7 @@ from ..session import register_tables
 
 FRAMES = """
 select concat('cam', cast(user_id % 8 as string)) as camera_id,
-       cast(row_number() over (partition by user_id % 8 order by ts, event_id) as bigint) as frame_no,
-       event_id, ts as frame_ts, cast(640 as int) as width, cast(480 as int) as height,
+       event_id as frame_no, event_id, ts as frame_ts, cast(640 as int) as width, cast(480 as int) as height,
        props as payload
 from events
 """
@@ -57,29 +56,22 @@ from (select *, cast(row_number() over (partition by l_orderkey
       order by l_linenumber, l_partkey, l_suppkey) as bigint) as det_id from lineitem) t
 """
 
-# Frame x object grid: 125 frames and 5 objects per supplier (= camera).
-SCENE_ALL_SPARK = """
-select s_suppkey as camera_no, cast(f.frame_no as bigint) as frame_no, cast(o.obj as bigint) as obj
-from supplier
-lateral view explode(sequence(1, 125)) f as frame_no
-lateral view explode(sequence(0, 4)) o as obj
-"""
-SCENE_ALL_DUCK = """
-select s_suppkey as camera_no, cast(f.frame_no as bigint) as frame_no, cast(o.obj as bigint) as obj
-from supplier, range(1, 126) f(frame_no), range(0, 5) o(obj)
-"""
-
+# A scene per camera: an order is one frame of one of 40 cameras, its line
+# numbers are the objects seen, so cameras run longer as the tables grow.
+# Objects 0 to 3 vanish for stretches now and then (some longer than 30
+# frames); object 4 never stays three frames in a row.
 SCENE = """
-select camera_no, frame_no, obj, obj as det_id,
+select distinct camera_no, frame_no, obj, obj as det_id,
        cast(20 + 3 * frame_no as double) as x, cast(120 * obj as double) as y,
        cast(40 as double) as w, cast(80 as double) as h
-from fx_scene_all
+from (select l_orderkey % 40 as camera_no, cast(floor(l_orderkey / 40) as bigint) + 1 as frame_no,
+             cast(l_linenumber % 5 as bigint) as obj from lineitem) s
 where case when obj = 4 then frame_no % 7 in (0, 1)
-      else (frame_no + 13 * obj + 7 * camera_no) % (40 + 5 * obj) >= (camera_no * (obj + 1)) % 36 end
+      else (frame_no + 13 * obj + 7 * camera_no) % (70 + 5 * obj) >= (camera_no * (obj + 1)) % 36 end
 """
 
 SCENE_FRAMES = """
-select distinct camera_no, frame_no from fx_scene_all
+select o_orderkey % 40 as camera_no, cast(floor(o_orderkey / 40) as bigint) + 1 as frame_no from orders
 """
 
 RAW_SPARK = """
@@ -87,8 +79,7 @@ select vec_id, cast(floor(vec_id / 50) as bigint) as image_id, cast(vec_id % 3 a
        cast(6 - 3 * (vec_id % 3) + floor(vec_id / 3) % 3 as int) as anchor_id,
        cast((6 + vec_id % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gy,
        cast((6 + floor(vec_id / 2) % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gx,
-       transform(slice(embedding, 1, 15),
-         (v, i) -> cast(v as double) * case when i < 4 then 2 else 16 end) as logits
+       transform(embedding, (v, i) -> cast(v as double) * case when i < 4 then 2 else 16 end) as logits
 from embeddings
 """
 RAW_DUCK = """
@@ -96,8 +87,7 @@ select vec_id, cast(floor(vec_id / 50) as bigint) as image_id, cast(vec_id % 3 a
        cast(6 - 3 * (vec_id % 3) + floor(vec_id / 3) % 3 as int) as anchor_id,
        cast((6 + vec_id % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gy,
        cast((6 + floor(vec_id / 2) % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gx,
-       list_transform(embedding[1:15],
-         lambda v, i: cast(v as double) * case when i <= 4 then 2 else 16 end) as logits
+       list_transform(embedding, lambda v, i: cast(v as double) * case when i <= 4 then 2 else 16 end) as logits
 from embeddings
 """
 
@@ -131,9 +121,8 @@ VIEWS: dict[str, tuple[str, str, tuple[str, ...]]] = {
     "fx_meas": (MEAS, MEAS, ("fx_dets",)),
     "fx_obs": (OBS, OBS, ()),
     "fx_truth": (TRUTH, TRUTH, ()),
-    "fx_scene_all": (SCENE_ALL_SPARK, SCENE_ALL_DUCK, ()),
-    "fx_scene": (SCENE, SCENE, ("fx_scene_all",)),
-    "fx_scene_frames": (SCENE_FRAMES, SCENE_FRAMES, ("fx_scene_all",)),
+    "fx_scene": (SCENE, SCENE, ()),
+    "fx_scene_frames": (SCENE_FRAMES, SCENE_FRAMES, ()),
     "fx_raw": (RAW_SPARK, RAW_DUCK, ()),
     "fx_gallery": (GALLERY_SPARK, GALLERY_DUCK, ()),
     "fx_queries": (QUERIES_SPARK, QUERIES_DUCK, ()),

@@ -90,17 +90,25 @@ def q_v4e(spark, sf):
     return d.select("camera_id", "query_id", "target_id", round6("distance").alias("distance"))
 
 
-@query("v5_gallery_update", duck_with("fx_gallery") + """
+_SAMPLES = """
+with samples as (select cast(floor(vec_id / 50) as bigint) as camera_id, cast(label as bigint) as target_id, vec_id as seq
+                 from embeddings)
+"""
+
+
+@query("v5_gallery_update", _SAMPLES + """
 select camera_id, target_id, seq from (
   select camera_id, target_id, seq,
          row_number() over (partition by camera_id, target_id order by seq desc) as rn
-  from fx_gallery
-  where (camera_id, target_id) in (select camera_id, target_id from fx_gallery
+  from samples
+  where (camera_id, target_id) in (select camera_id, target_id from samples
                                    where seq % 10 >= 6 and target_id <> camera_id % 10)) t
 where rn <= 3
 """)
 def q_v5(spark, sf):
-    g = fixture(spark, sf, "fx_gallery").select("camera_id", "target_id", "seq", "feature")
+    register_tables(spark, sf)
+    g = spark.table("embeddings").select(F.floor(F.col("vec_id") / 50).alias("camera_id"), F.col("label").cast("long").alias("target_id"),
+                                         F.col("vec_id").alias("seq"), F.col("embedding").alias("feature"))
     old = g.where(F.col("seq") % 10 < 6)
     new = g.where(F.col("seq") % 10 >= 6)
     active = new.where(F.col("target_id") != F.col("camera_id") % 10).select("camera_id", "target_id")
@@ -121,8 +129,20 @@ def _state_cols(state="kf", fields=STATE_FIELDS):
 _XYAH_SQL = ("x + w / 2", "y + h / 2", "w / h", "h")
 
 
-def _tracks_predicted(spark, sf, steps=1):
-    t = _xyah(fixture(spark, sf, "fx_tracks"), "z_")
+_ALL_TRACKS = duck_with("fx_dets").rstrip() + """
+, all_tracks as (select camera_id, frame_no, det_id as track_id, x, y, w, h,
+                        cast(1 + det_id % 2 as int) as time_since_update from fx_dets)
+"""
+
+
+def _all_tracks(spark, sf):
+    """Every detection as a track of its own."""
+    return fixture(spark, sf, "fx_dets").select("camera_id", "frame_no", F.col("det_id").alias("track_id"), "x", "y", "w", "h",
+                                                (1 + F.col("det_id") % 2).cast("int").alias("time_since_update"))
+
+
+def _tracks_predicted(spark, sf, steps=1, tracks=None):
+    t = _xyah(fixture(spark, sf, "fx_tracks") if tracks is None else tracks, "z_")
     t = K.initiate_tracks(t, ("z_cx", "z_cy", "z_a", "z_h"))
     return K.forecast_tracks(t, steps)
 
@@ -135,23 +155,23 @@ def _pred_sql(steps=1, prefix="t."):
     return s
 
 
-@query("k1_initiate_tracks", duck_with("fx_meas") + f"""
+@query("k1_initiate_tracks", duck_with("fx_dets") + f"""
 select camera_id, frame_no, det_id, {KS.select_list(KS.init(*_XYAH_SQL))}
-from fx_meas
+from fx_dets
 """)
 def q_k1(spark, sf):
-    d = _xyah(fixture(spark, sf, "fx_meas"), "z_")
+    d = _xyah(fixture(spark, sf, "fx_dets"), "z_")
     s = K.initiate_tracks(d, ("z_cx", "z_cy", "z_a", "z_h"))
     return s.select("camera_id", "frame_no", "det_id", *_state_cols())
 
 
-@query("k2_forecast_tracks", duck_with("fx_tracks") + f"""
+@query("k2_forecast_tracks", _ALL_TRACKS + f"""
 select camera_id, frame_no, track_id, time_since_update + 2 as time_since_update,
        {KS.select_list(_pred_sql(2))}
-from fx_tracks t
+from all_tracks t
 """)
 def q_k2(spark, sf):
-    s = _tracks_predicted(spark, sf, 2)
+    s = _tracks_predicted(spark, sf, 2, _all_tracks(spark, sf))
     return s.select("camera_id", "frame_no", "track_id", "time_since_update", *_state_cols())
 
 
@@ -161,12 +181,12 @@ def _proj_select(s):
     return ", ".join(parts)
 
 
-@query("k3_project_tracks", duck_with("fx_tracks") + f"""
+@query("k3_project_tracks", _ALL_TRACKS + f"""
 select camera_id, frame_no, track_id, {_proj_select(_pred_sql(1))}
-from fx_tracks t
+from all_tracks t
 """)
 def q_k3(spark, sf):
-    s = K.project_tracks(_tracks_predicted(spark, sf, 1))
+    s = K.project_tracks(_tracks_predicted(spark, sf, 1, _all_tracks(spark, sf)))
     return s.select("camera_id", "frame_no", "track_id",
                     *[round6(F.col("proj")[f]).alias(f) for f in list(AXES) + [f"s_{k}" for k in AXES]])
 

@@ -86,7 +86,8 @@ def q_f3(spark, sf):
 
 @query("m2_processing_latency", duck_with("fx_frames") + """
 select camera_id, count(*) as n_frames, round(avg(lat), 6) as avg_latency_s, round(min(lat), 6) as min_latency_s,
-       round(max(lat), 6) as max_latency_s
+       round(max(lat), 6) as max_latency_s, round(quantile_disc(lat, 0.5), 6) as p50_latency_s,
+       round(quantile_disc(lat, 0.95), 6) as p95_latency_s
 from (select camera_id, (event_id % 7) * 100000 / 1e6 as lat from fx_frames) t
 group by camera_id
 """)
@@ -96,16 +97,16 @@ def q_m2(spark, sf):
                      F.timestamp_micros(epoch_micros("frame_ts") + (F.col("event_id") % 7) * 100000).alias("done_ts"))
     r = FR.processing_latency(fr, done)
     return r.select("camera_id", "n_frames", *[round6(c).alias(c) for c in
-                                               ("avg_latency_s", "min_latency_s", "max_latency_s")])
+                                               ("avg_latency_s", "min_latency_s", "max_latency_s", "p50_latency_s", "p95_latency_s")])
 
 
 def _write_mot(spark, sf):
-    """fx_dets as MOT rows (frame, -1, x, y, w, h, conf, -1, -1, -1), one
-    directory per sequence."""
+    """fx_dets as MOT rows of 12 columns (frame, -1, x, y, w, h, conf, -1, -1, -1,
+    det_id, class_id), one directory per sequence."""
     d = fixture(spark, sf, "fx_dets")
     root = scratch_path(spark, "mot")
     (d.select(F.col("camera_id").alias("sequence"), F.col("frame_no").cast("double"), F.lit(-1.0), "x", "y", "w", "h",
-              "score", F.lit(-1.0), F.lit(-1.0), F.lit(-1.0))
+              "score", F.lit(-1.0), F.lit(-1.0), F.lit(-1.0), F.col("det_id").alias("own_id"), "class_id")
       .write.partitionBy("sequence").csv(root))
     return root
 
@@ -114,12 +115,15 @@ _MOT_GLOB, _MOT_PATTERN = "sequence=*/*.csv", r"sequence=([^/]+)/[^/]+$"
 
 
 @query("s5_read_mot_detections", duck_with("fx_dets") + """
-select camera_id as sequence, cast(frame_no as int) as frame_no, x, y, w, h, score as conf from fx_dets
+select camera_id as sequence, cast(frame_no as int) as frame_no, x, y, w, h, score as conf, 12 as n_columns,
+       cast(det_id as double) as c10, cast(class_id as double) as c11
+from fx_dets
 """)
 def q_s5(spark, sf):
     root = _write_mot(spark, sf)
     m = MOT.read_mot_detections(spark, root, glob=_MOT_GLOB, pattern=_MOT_PATTERN)
-    return m.select("sequence", "frame_no", "x", "y", "w", "h", F.col("row")[6].alias("conf"))
+    return m.select("sequence", "frame_no", "x", "y", "w", "h", F.col("row")[6].alias("conf"), F.size("row").alias("n_columns"),
+                    F.col("row")[10].alias("c10"), F.col("row")[11].alias("c11"))
 
 
 def _frame_index(spark, sf):
@@ -178,4 +182,4 @@ def q_v8(spark, sf):
                                    glob=_MOT_GLOB, pattern=_MOT_PATTERN)
     v = F.col("values")
     return store.select("sequence", "frame_no", *[v[i].alias(c) for i, c in zip((2, 3, 4, 5), "xywh")],
-                        *[round6(F.try_element_at(v, F.lit(11 + i))).alias(f"f{i}") for i in range(4)])
+                        *[round6(F.try_element_at(v, F.lit(13 + i))).alias(f"f{i}") for i in range(4)])

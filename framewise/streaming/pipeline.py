@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..config import TrackerConfig
 from ..functions.common import epoch_micros
-from ..operators.frames import drop_stale_frames, latest_frame_per_camera
+from ..operators.frames import batch_intake_counts, drop_stale_frames, latest_frame_per_camera
 from ..operators.inference import score_in_batches
 from ..operators.nms import nms_per_frame
 from ..operators.tracking import position_records
@@ -51,38 +51,52 @@ class PipelineHandles:
 
 def tracking_pipeline(spark: SparkSession, messages: DataFrame, detector_factory, base: str,
                       cfg: TrackerConfig | None = None, max_age_s: int | None = 5,
-                      order_cols=("frame_ts", "key"), batch_size: int = 1) -> PipelineHandles:
-    """Start both queries.  ``messages`` is a streaming ``(key, value)``
-    frame-message source; ``detector_factory()`` returns a model mapping a
+                      order_cols=None, batch_size: int = 1, max_files: int = 64) -> PipelineHandles:
+    """Start both queries.  ``messages`` is a streaming frame-message source
+    with a ``value`` column; ``detector_factory()`` returns a model mapping a
     pandas batch of frames (camera_id, frame_no, frame_ts, image) to rows of
     :data:`DETECTION_SCHEMA` (a frame without boxes: one row with null
     ``det_id``).  ``max_age_s=None`` disables the freshness filter (replay
     of stored footage).  Frame numbers are the frame time in microseconds,
-    so they increase per camera across batches."""
-    cfg = cfg or TrackerConfig()
+    so they increase per camera across batches.
+
+    The newest frame is the last by ``order_cols``: by default Kafka's partition
+    and offset where the source has them, else frame time and key.  Messages
+    that do not parse are kept under ``rejects``, intake counts per camera under
+    ``counts``.  Without ``cfg`` a track keeps its last 100 samples.
+    ``max_files`` bounds what one tracking trigger takes in."""
+    cfg = cfg or TrackerConfig(budget=100)
     dets_path, tracks_path, pos_path = f"{base}/detections", f"{base}/tracks", f"{base}/positions"
-    good, _rejects = parse_frame_messages(messages)
-    if max_age_s is not None:
-        good = drop_stale_frames(good, F.current_timestamp(), "frame_ts", max_age_s)
-    good = good.withColumn("frame_no", epoch_micros("frame_ts"))
+    have = set(messages.columns)
+    if order_cols is None:
+        order_cols = ("partition", "offset") if {"partition", "offset"} <= have else ("frame_ts", "key") if "key" in have else ("frame_ts",)
+    extra = [c for c in order_cols if c != "frame_ts"]
 
     def intake_batch(df: DataFrame, batch_id: int):
-        latest = latest_frame_per_camera(df.select("camera_id", "frame_no", "frame_ts", "image", *order_cols[1:]),
-                                         order_cols, ("camera_id",))
+        df.persist()
+        now = F.lit(spark.sql("select current_timestamp() as t").first()["t"])
+        good, rejects = parse_frame_messages(df)
+        rejects.write.mode("overwrite").json(f"{base}/rejects/batch_id={batch_id}")
+        batch_intake_counts(df.withColumn("batch_id", F.lit(batch_id)), now, max_age_s=2**40 if max_age_s is None else max_age_s) \
+            .drop("batch_id").write.mode("overwrite").parquet(f"{base}/counts/batch_id={batch_id}")
+        if max_age_s is not None:
+            good = drop_stale_frames(good, now, "frame_ts", max_age_s)
+        good = good.withColumn("frame_no", epoch_micros("frame_ts"))
+        latest = latest_frame_per_camera(good.select("camera_id", "frame_no", "frame_ts", "image", *extra), order_cols, ("camera_id",))
         frames = latest.select("camera_id", "frame_no", "frame_ts", "image")
-        # the model runs once per batch: its output is staged, then suppressed
-        stage = f"{base}/stage/batch_id={batch_id}"
-        score_in_batches(frames, detector_factory, DETECTION_SCHEMA, batch_size, one_to_one=False) \
-            .write.mode("overwrite").parquet(stage)
-        dets = spark.read.parquet(stage)
-        kept = nms_per_frame(dets.where(F.col("det_id").isNotNull()), cfg.nms_overlap).drop("pick")
-        out = kept.unionByName(dets.where(F.col("det_id").isNull()))
+        # the model's output is used twice, for boxes and for frames without any
+        dets = score_in_batches(frames, detector_factory, DETECTION_SCHEMA, batch_size, one_to_one=False).persist()
+        kept = nms_per_frame(dets.where(F.col("det_id").isNotNull()), cfg.nms_overlap)
+        out = kept.unionByName(dets.where(F.col("det_id").isNull()), allowMissingColumns=True)
         out.write.mode("overwrite").parquet(f"{dets_path}/batch_id={batch_id}")
+        dets.unpersist()
+        df.unpersist()
 
-    q1 = (good.writeStream.foreachBatch(intake_batch)
+    q1 = (messages.writeStream.foreachBatch(intake_batch)
           .option("checkpointLocation", f"{base}/ckpt-intake").start())
 
-    det_stream = spark.readStream.schema(DETECTION_SCHEMA).parquet(f"{dets_path}/*")
+    stored = T.StructType([*DETECTION_SCHEMA.fields, T.StructField("pick", T.IntegerType())])
+    det_stream = spark.readStream.schema(stored).option("maxFilesPerTrigger", max_files).parquet(f"{dets_path}/*")
     tracks = track_stream(det_stream, cfg, key="camera_id")
 
     def tracking_batch(df: DataFrame, batch_id: int):

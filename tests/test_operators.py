@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from framewise.operators import nms as N
@@ -142,3 +145,50 @@ def test_grid_join_equals_brute_force_on_awkward_boxes(spark):
             if max(x, u) < min(x + w, u + p) and max(y, v) < min(y + h, v + q):
                 want.add((i, j))
     assert got == want
+
+
+def test_enormous_boxes_stay_cheap(spark):
+    """A box of 1e9 pixels touches a handful of cells, not millions."""
+    from framewise.operators import geometry as G
+
+    rnd = random.Random(6)
+    boxes = [(1, i, rnd.uniform(-500, 500), rnd.uniform(-500, 500), rnd.uniform(1, 90), rnd.uniform(1, 90)) for i in range(60)]
+    boxes += [(1, 100, -5e8, -5e8, 1e9, 1e9), (1, 101, 0.0, -3.0, 1e9, 2.0), (1, 102, 5e8 - 1, 5e8 - 1, 40.0, 40.0)]
+    df = spark.createDataFrame(boxes, "frame_no long, id long, x double, y double, w double, h double")
+    left = df.select("frame_no", F.col("id").alias("a"), *[F.col(c).alias("l_" + c) for c in "xywh"])
+    right = df.select("frame_no", F.col("id").alias("b"), *[F.col(c).alias("r_" + c) for c in "xywh"])
+    got = sorted((r.a, r.b) for r in G.pairwise_iou(left, right, keys=("frame_no",)).collect())
+    want = sorted((p[1], q[1]) for p in boxes for q in boxes
+                  if max(p[2], q[2]) < min(p[2] + p[4], q[2] + q[4]) and max(p[3], q[3]) < min(p[3] + p[5], q[3] + q[5]))
+    assert got == want
+
+
+def test_forecast_of_no_steps_is_the_state(spark):
+    from framewise.functions import motion as KF
+
+    df = spark.createDataFrame([(1.0, 2.0, 0.5, 4.0)], "cx double, cy double, a double, h double").withColumn("kf", KF.initiate("cx", "cy", "a", "h"))
+    r = df.select("kf", KF.predict_n("kf", 0).alias("same"), KF.predict_n("kf", 2).alias("two")).first()
+    assert r["kf"] == r["same"] and r["two"] != r["kf"]
+    with pytest.raises(ValueError, match="negative"):
+        KF.predict_n("kf", -1)
+
+
+def test_shared_folder_is_asked_for_away_from_one_machine():
+    from framewise.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    session = type("Session", (), {"sparkContext": Context(), "conf": Conf()})()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
+    session.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError, match="share"):
+        ensure_checkpoint_dir(session)

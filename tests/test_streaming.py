@@ -24,7 +24,7 @@ def test_uneven_split_equals_batch(spark, tmp_path):
     rows = frames.join(dets.select("camera_no", "frame_no", "det_id", "x", "y", "w", "h", "feature"),
                        ["camera_no", "frame_no"], "left")
     src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
-    cuts = [(1, 7), (8, 40), (41, 41), (42, 125)]
+    cuts = [(1, 7), (8, 20), (21, 21), (22, 10_000)]
     rows.where(F.col("frame_no").between(*cuts[0])).write.parquet(src)
     stream = spark.readStream.schema(rows.schema).parquet(src)
     q = (track_stream(stream, cfg, key="camera_no").writeStream.format("parquet").option("path", out)
