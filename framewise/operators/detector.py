@@ -260,3 +260,10 @@ def detector_loss(decoded: DataFrame, targets: DataFrame, ignore: DataFrame,
         F.lit(0.0), lambda a, b: a + b)).otherwise(F.lit(0.0))
     return j.groupBy(*keys).agg(F.sum(box).alias("box_loss"), F.sum(conf).alias("conf_loss"),
                                 F.sum(cls).alias("class_loss"))
+
+
+def batch_loss(losses: DataFrame) -> DataFrame:
+    """One row: the losses of :func:`detector_loss` summed over all levels and
+    parts, divided by the number of images."""
+    total = F.sum(F.col("box_loss") + F.col("conf_loss") + F.col("class_loss"))
+    return losses.agg(F.count_distinct("image_id").alias("n_images"), (total / F.count_distinct("image_id")).alias("loss"))

@@ -74,22 +74,28 @@ SCENE_FRAMES = """
 select o_orderkey % 40 as camera_no, cast(floor(o_orderkey / 40) as bigint) + 1 as frame_no from orders
 """
 
-RAW_SPARK = """
-select vec_id, cast(floor(vec_id / 50) as bigint) as image_id, cast(vec_id % 3 as int) as level,
-       cast(6 - 3 * (vec_id % 3) + floor(vec_id / 3) % 3 as int) as anchor_id,
-       cast((6 + vec_id % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gy,
-       cast((6 + floor(vec_id / 2) % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gx,
-       transform(embedding, (v, i) -> cast(v as double) * case when i < 4 then 2 else 16 end) as logits
-from embeddings
-"""
-RAW_DUCK = """
-select vec_id, cast(floor(vec_id / 50) as bigint) as image_id, cast(vec_id % 3 as int) as level,
-       cast(6 - 3 * (vec_id % 3) + floor(vec_id / 3) % 3 as int) as anchor_id,
-       cast((6 + vec_id % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gy,
-       cast((6 + floor(vec_id / 2) % 2) * (case vec_id % 3 when 0 then 1 when 1 then 2 else 4 end) as int) as gx,
-       list_transform(embedding, lambda v, i: cast(v as double) * case when i <= 4 then 2 else 16 end) as logits
-from embeddings
+# Predictions, 59 classes each: one a vector, spread over the cells of a few
+# crowded images, and one a level on the cell of every true box of many images.
+_RAW = """
+select vec_id, image_id, level, anchor_id, cast(row_px * size as int) as gy, cast(col_px * size as int) as gx,
+       {logits} as logits
+from (select vec_id, cast(floor(vec_id / 250) as bigint) as image_id, cast(vec_id % 3 as int) as level,
+             cast(6 - 3 * (vec_id % 3) + floor(vec_id / 3) % 3 as int) as anchor_id,
+             case vec_id % 3 when 0 then 13 when 1 then 26 else 52 end as size,
+             ((vec_id * 7) % 52) / cast(52 as double) as row_px, ((vec_id * 11) % 52) / cast(52 as double) as col_px, embedding
+      from embeddings
+      union all
+      select 1000000000 + (e.vec_id * 100 + t.box_no) * 3 + l.level, t.image_id, cast(l.level as int),
+             cast(6 - 3 * l.level + (e.vec_id + t.box_no) % 3 as int), l.size,
+             floor((t.y1 + t.y2) / 2) / 416, floor((t.x1 + t.x2) / 2) / 416, e.embedding
+      from embeddings e join fx_truth t on t.image_id = e.vec_id + 1
+           cross join (select 0 as level, 13 as size union all select 1, 26 union all select 2, 52) l) p
 """
+RAW_SPARK = _RAW.format(logits="transform(embedding, (v, i) -> cast(v as double) * case when i < 4 then 2 else 16 end)")
+RAW_DUCK = _RAW.format(
+    logits="list_transform(embedding, lambda v, i: cast(v as double) * case when i <= 4 then 2 else 16 end)"
+).replace("cast(row_px * size as int)", "cast(floor(row_px * size) as int)").replace(
+    "cast(col_px * size as int)", "cast(floor(col_px * size) as int)")
 
 # Appearance gallery / queries, blocked by camera = vec_id div 50.
 GALLERY_SPARK = """
@@ -123,7 +129,7 @@ VIEWS: dict[str, tuple[str, str, tuple[str, ...]]] = {
     "fx_truth": (TRUTH, TRUTH, ()),
     "fx_scene": (SCENE, SCENE, ()),
     "fx_scene_frames": (SCENE_FRAMES, SCENE_FRAMES, ()),
-    "fx_raw": (RAW_SPARK, RAW_DUCK, ()),
+    "fx_raw": (RAW_SPARK, RAW_DUCK, ("fx_truth",)),
     "fx_gallery": (GALLERY_SPARK, GALLERY_DUCK, ()),
     "fx_queries": (QUERIES_SPARK, QUERIES_DUCK, ()),
 }

@@ -359,7 +359,7 @@ _L2_IOU = """greatest(0.0, least(p.bx + p.bw / 2, t.tx + t.tw / 2) - greatest(p.
              * greatest(0.0, least(p."by" + p.bh / 2, t.ty + t.th / 2) - greatest(p."by" - p.bh / 2, t.ty - t.th / 2))"""
 
 
-@query("l2_detector_loss", duck_with("fx_raw", "fx_truth").rstrip() + DEC_SQL.rstrip() + _L1_SQL.rstrip() + f"""
+_L2_SQL = duck_with("fx_raw", "fx_truth").rstrip() + DEC_SQL.rstrip() + _L1_SQL.rstrip() + f"""
 , ign as (select p.vec_id, max({_L2_IOU} / (p.bw * p.bh + t.tw * t.th - {_L2_IOU})) as best
           from dec p join targets t on t.image_id = p.image_id and t.level = p.level
           where greatest(p.bx - p.bw / 2, t.tx - t.tw / 2) < least(p.bx + p.bw / 2, t.tx + t.tw / 2)
@@ -371,6 +371,10 @@ j as (select p.*, t.tx, t.ty, t.tw, t.th, t.classes, case when t.tx is null then
       left join targets t on t.image_id = p.image_id and t.level = p.level and t.j = p.gy and t.i = p.gx
                          and t.k = p.anchor_id - [6, 3, 0][p.level + 1]
       left join ign on ign.vec_id = p.vec_id)
+"""
+
+
+_L2_LOSSES = f"""
 select image_id, level,
        round(sum(case when obj > 0 then
              power((tx - bx) * {GRID}[level + 1] * (2.0 - tw * th), 2) + power((ty - "by") * {GRID}[level + 1] * (2.0 - tw * th), 2)
@@ -381,14 +385,28 @@ select image_id, level,
              power(case when list_contains(classes, c - 1) then 1.0 else 0.0 end - q, 2)), lambda a, b: a + b)
            else 0.0 end), 6) as class_loss
 from j group by image_id, level
-""")
-def q_l2(spark, sf):
+"""
+
+
+def _losses(spark, sf):
     raw, dec = _decoded(spark, sf)
     targets = D.assign_truth_to_anchors(fixture(spark, sf, "fx_truth"))
     ign = D.best_truth_iou(dec.select("image_id", "level", "vec_id", "bx", "by", "bw", "bh"),
                            targets.select("image_id", "level", "tx", "ty", "tw", "th"),
                            keys=("image_id", "level"))
-    loss = D.detector_loss(dec, targets, ign)
-    return loss.select("image_id", F.col("level").cast("int").alias("level"),
+    return D.detector_loss(dec, targets, ign)
+
+
+@query("l2_detector_loss", _L2_SQL + _L2_LOSSES)
+def q_l2(spark, sf):
+    return _losses(spark, sf).select("image_id", F.col("level").cast("int").alias("level"),
                        *[round6(c).alias(c) for c in ("box_loss", "conf_loss", "class_loss")])
 
+
+@query("l2_batch_loss", _L2_SQL + ", losses as (" + _L2_LOSSES + """)
+select count(distinct image_id) as n_images, round(sum(box_loss + conf_loss + class_loss) / count(distinct image_id), 3) as loss
+from losses
+""")
+def q_l2_batch(spark, sf):
+    """Compared to three places, as the oracle sums rounded parts."""
+    return D.batch_loss(_losses(spark, sf)).select("n_images", F.round("loss", 3).alias("loss"))
