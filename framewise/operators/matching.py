@@ -4,7 +4,8 @@ Matching is optimal per frame.  Feasible edges (cost <= max) are shuffled
 once by the frame keys; window counts flag an edge that is the only feasible
 one for both its track and its detection (a component of its own, always
 matched), and such edges pass straight through.  Only contested frames run
-a small Hungarian solver on their sub-matrix, many frames per Arrow batch.
+a small Hungarian solver, one connected component at a time, many frames per
+Arrow batch.  Both stages of the association are levels of one such pass.
 """
 
 from __future__ import annotations
@@ -48,54 +49,76 @@ def _match_schema(edges: DataFrame, keys, left, right, cost) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
 
 
-def _solve_frames(pdf: pd.DataFrame, keys, left, right, cost, max_distance, level):
-    out = []
+def _components(rows: np.ndarray, cols: np.ndarray, n_rows: int, n_cols: int) -> np.ndarray:
+    """Component of each edge of a bipartite graph: least row reachable."""
+    label = np.arange(n_rows)
+    while True:
+        by_col = np.full(n_cols, n_rows)
+        np.minimum.at(by_col, cols, label[rows])
+        step = label.copy()
+        np.minimum.at(step, rows, by_col[cols])
+        if (step == label).all():
+            return label[rows]
+        label = step
+
+
+def _solve_frames(pdf: pd.DataFrame, keys, left, right, cost, limit_of, level):
+    """Optimal matching of contested frames: level by level, and within a level
+    each connected component by itself."""
+    parts = []
     for _, g in iter_groups(pdf, keys):
-        lefts = pd.unique(g[left])
-        rights = pd.unique(g[right])
-        li = {v: i for i, v in enumerate(lefts)}
-        ri = {v: i for i, v in enumerate(rights)}
-        C = np.full((len(lefts), len(rights)), np.inf)
-        C[g[left].map(li).to_numpy(), g[right].map(ri).to_numpy()] = g[cost].to_numpy(dtype=float)
-        if level is None:
-            groups = [np.arange(len(lefts))]
-        else:
-            lv = g.drop_duplicates(left).set_index(left)[level]
-            levels = np.array([lv[v] for v in lefts])
-            groups = [np.nonzero(levels == x)[0] for x in np.unique(levels)]
-        free = np.ones(len(rights), dtype=bool)
-        for rows in groups:
-            cols = np.nonzero(free)[0]
-            if not len(cols):
-                break
-            matches, _, _ = min_cost_matching(C[np.ix_(rows, cols)], max_distance)
-            for r, c in matches:
-                rr, cc = rows[r], cols[c]
-                free[cc] = False
-                rec = {k: g[k].iloc[0] for k in keys}
-                rec.update({left: lefts[rr], right: rights[cc], cost: C[rr, cc]})
-                out.append(rec)
-    return pd.DataFrame(out, columns=list(keys) + [left, right, cost])
+        li, lefts = pd.factorize(g[left])
+        ri, rights = pd.factorize(g[right])
+        c = g[cost].to_numpy(dtype=float)
+        lv = g[level].to_numpy() if level else np.zeros(len(g), dtype=int)
+        took, taken = np.zeros(len(lefts), dtype=bool), np.zeros(len(rights), dtype=bool)
+        won = []
+        for x in np.unique(lv):
+            e = np.flatnonzero((lv == x) & ~took[li] & ~taken[ri])
+            comp = _components(li[e], ri[e], len(lefts), len(rights))
+            for part in np.unique(comp):
+                own = e[comp == part]
+                r, ri_own = np.unique(li[own], return_inverse=True)
+                k, ki_own = np.unique(ri[own], return_inverse=True)
+                m, edge = np.full((len(r), len(k)), np.inf), np.zeros((len(r), len(k)), dtype=int)
+                m[ri_own, ki_own], edge[ri_own, ki_own] = c[own], own
+                won += [edge[i, j] for i, j in min_cost_matching(m, limit_of(x))[0]]
+            took[li[won]] = True
+            taken[ri[won]] = True
+        parts.append(g.iloc[won])
+    cols = list(keys) + [left, right, cost] + ([level] if level else [])
+    return pd.concat(parts)[cols] if parts else pdf.iloc[:0][cols]
 
 
 def match_min_cost(edges: DataFrame, max_distance: float, keys=("camera_id", "frame_no"),
                    left: str = "track_id", right: str = "det_id", cost: str = "cost",
-                   level: str | None = None) -> DataFrame:
+                   level: str | None = None, other_limits: dict | None = None,
+                   keep_level: bool = False) -> DataFrame:
     """Optimal one-to-one matching per frame over edges with
     ``cost <= max_distance`` (equivalently: maximum total of
     ``max + 1e-5 - cost``).  With ``level`` set, lower levels are matched
-    first and later levels only see detections still free (cascade).
-    Returns the matched pairs with their cost."""
+    first and later levels only see what is still free (cascade);
+    ``other_limits`` gives levels that have a limit of their own.
+    Returns the matched pairs with their cost (and level on demand)."""
     keys = list(keys)
+    other = dict(other_limits or {})
     cols = keys + [left, right, cost] + ([level] if level else [])
     ship_package(edges.sparkSession)
-    e = edges.where(F.col(cost) <= max_distance).select(*cols)
+    limit = F.lit(max_distance)
+    for at, value in other.items():
+        limit = F.when(F.col(level) == at, F.lit(value)).otherwise(limit)
+    e = edges.where(F.col(cost) <= limit).select(*cols)
     e = e.repartition(python_parallelism(e), *keys)
     wl = Window.partitionBy(*keys, left)
     wr = Window.partitionBy(*keys, right)
     e = e.withColumn("_lone", ((F.count(F.lit(1)).over(wl) == 1) & (F.count(F.lit(1)).over(wr) == 1)))
     schema = _match_schema(edges, keys, left, right, cost)
-    out_cols = keys + [left, right, cost]
+    if keep_level:
+        schema = schema.add(T.StructField(level, edges.schema[level].dataType))
+    out_cols = [f.name for f in schema.fields]
+
+    def limit_of(x):
+        return other.get(int(x), max_distance)
 
     def solve(pdf):
         lone = pdf["_lone"].to_numpy(dtype=bool)
@@ -103,7 +126,7 @@ def match_min_cost(edges: DataFrame, max_distance: float, keys=("camera_id", "fr
         hard = pdf.loc[~lone].reset_index(drop=True)
         parts = [easy.astype({cost: float})]
         if len(hard):
-            parts.append(_solve_frames(hard, keys, left, right, cost, max_distance, level))
+            parts.append(_solve_frames(hard, keys, left, right, cost, limit_of, level)[out_cols])
         return pd.concat(parts, ignore_index=True)
 
     def fn(batches):
@@ -164,15 +187,21 @@ def match_two_stage(tracks: DataFrame, gallery: DataFrame, dets: DataFrame, cfg=
     costs = association_costs(conf, gallery, dets, keys, gallery_keys, track_id, det_id,
                               only_position=cfg.only_position)
     costs = costs.join(conf.select(*keys, track_id, "time_since_update"), keys + [track_id])
-    ma = match_cascade(costs, cfg.max_cosine, level="time_since_update", depth=cfg.max_age,
-                       keys=keys, left=track_id, right=det_id)
-    free = dets.join(ma.select(*keys, det_id), keys + [det_id], "left_anti")
-    cand = (tracks.where((F.col("state") != 2) | (F.col("time_since_update") == 1))
-            .join(ma.select(*keys, track_id), keys + [track_id], "left_anti"))
-    ic = iou_cost(cand.select(*keys, track_id, "time_since_update", "t_x", "t_y", "t_w", "t_h"),
-                  free.select(*keys, det_id, "d_x", "d_y", "d_w", "d_h"), keys)
-    mb = match_min_cost(ic, cfg.max_iou, keys=keys, left=track_id, right=det_id)
-    return (ma.withColumn("stage", F.lit(1)).unionByName(mb.withColumn("stage", F.lit(2))))
+    look = costs.where(F.col("time_since_update").between(1, cfg.max_age)).select(
+        *keys, track_id, det_id, "cost", F.col("time_since_update").cast("int").alias("_level"))
+    near = tracks.where((F.col("state") != 2) | (F.col("time_since_update") == 1))
+    over = iou_cost(near.select(*keys, track_id, "time_since_update", "t_x", "t_y", "t_w", "t_h"),
+                    dets.select(*keys, det_id, "d_x", "d_y", "d_w", "d_h"), keys)
+    after = cfg.max_age + 1
+    over = over.select(*keys, track_id, det_id, "cost", F.lit(after).alias("_level"))
+    # A pair that stage 1 may match and does not is never free for stage 2 on
+    # both sides, so of a pair's two edges the earlier one is enough.
+    both = look.where(F.col("cost") <= cfg.max_cosine).unionByName(over.where(F.col("cost") <= cfg.max_iou))
+    edges = both.groupBy(*keys, track_id, det_id).agg(F.min(F.struct("_level", "cost")).alias("_e")) \
+        .select(*keys, track_id, det_id, "_e._level", "_e.cost")
+    m = match_min_cost(edges, cfg.max_cosine, keys=keys, left=track_id, right=det_id, level="_level",
+                       other_limits={after: cfg.max_iou}, keep_level=True)
+    return m.select(*keys, track_id, det_id, "cost", F.when(F.col("_level") == after, 2).otherwise(1).alias("stage"))
 
 
 def unmatched_sides(tracks: DataFrame, dets: DataFrame, matches: DataFrame,

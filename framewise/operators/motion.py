@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import INFTY_COST, STD_WEIGHT_POSITION as SP, STD_WEIGHT_VELOCITY as SV
+from ..config import INFTY_COST
 from ..functions import motion as KF
 from ..functions.common import col
+from .tracker_core import kf_initiate, kf_predict, kf_update
 from .sorted_groups import map_sorted_groups
 
 STATE = "kf"
@@ -89,69 +90,49 @@ def _filter_series(pdf: pd.DataFrame, key: str, frame: str, z_cols, state: dict)
     """Initiate at the first observation, then predict once per frame and
     correct at each observation.  Rows arrive ordered by (key, frame) in
     batches; ``state`` carries the current series across batch boundaries, so
-    no series is ever held whole."""
-    keys = pdf[key].to_numpy()
-    frames = pdf[frame].to_numpy()
-    Z = pdf[list(z_cols)].to_numpy(dtype=float)
-    res_keys, res_frames, res_obs, res_state = [], [], [], []
-    st, prev_key, prev_frame = state.get("st"), state.get("key", object()), state.get("frame")
-    for i in range(len(pdf)):
-        k, f, z = keys[i], int(frames[i]), Z[i]
-        if k != prev_key:
-            st = _init(z)
-        else:
-            for g in range(prev_frame + 1, f):       # frames without observation
-                st = _predict(st)
-                res_keys.append(k)
-                res_frames.append(g)
-                res_obs.append(False)
-                res_state.append(st.copy())
-            st = _update(_predict(st), z)
-        res_keys.append(k)
-        res_frames.append(f)
-        res_obs.append(True)
-        res_state.append(st.copy())
-        prev_key, prev_frame = k, f
-    state.update(st=st, key=prev_key, frame=prev_frame)
-    arr = np.array(res_state).reshape(-1, 4, 5)   # axis x (p, v, pp, pv, vv)
-    res = pd.DataFrame({key: res_keys, frame: res_frames, "observed": res_obs})
+    no series is ever held whole.  All series of a batch advance together, one
+    array step per frame."""
+    keys, frames = pdf[key].to_numpy(), pdf[frame].to_numpy(dtype=np.int64)
+    z = pdf[list(z_cols)].to_numpy(dtype=float)
+    begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    end = np.r_[begin[1:], len(keys)] - 1
+    goes_on = "st" in state and state["key"] == keys[0]
+    first = frames[begin].copy()              # first frame this batch answers for
+    if goes_on:
+        first[0] = state["frame"] + 1
+    length = frames[end] - first + 1
+    at = np.r_[0, np.cumsum(length)]          # a series' rows in the output
+    series = np.repeat(np.arange(len(begin)), end - begin + 1)
+    place = at[series] + frames - first[series]
+    observed = np.zeros(at[-1], dtype=bool)
+    observed[place] = True
+    seen = np.zeros((at[-1], 4))
+    seen[place] = z
+    out = np.empty((at[-1], 4, 5))
+    order = np.argsort(-length, kind="stable")
+    now = np.zeros((len(begin), 4, 5))
+    if goes_on:
+        now[0] = state["st"]
+    for t in range(int(length.max())):
+        live = order[:np.searchsorted(-length[order], -t, side="left")]
+        new = live[:0]
+        if t == 0:
+            new, live = (live[live > 0], live[live == 0]) if goes_on else (live, live[:0])
+            now[new] = kf_initiate(seen[at[new]])
+        now[live] = kf_predict(now[live])
+        hit = live[observed[at[live] + t]]
+        now[hit] = kf_update(now[hit], seen[at[hit] + t])
+        both = np.r_[new, live]
+        out[at[both] + t] = now[both]
+    state.update(st=now[-1].copy(), key=keys[-1], frame=int(frames[-1]))
+    res = pd.DataFrame({key: np.repeat(keys[begin], length), frame: np.arange(at[-1]) - np.repeat(at[:-1] - first, length),
+                        "observed": observed})
     for ai, a in enumerate(KF.AXES):
         for fi, name in enumerate((a, f"v_{a}", f"pp_{a}", f"pv_{a}", f"vv_{a}")):
-            res[name] = arr[:, ai, fi]
+            res[name] = out[:, ai, fi]
     return res
 
 
-def _noise(h: float):
-    qp = np.array([SP * h, SP * h, 1e-2, SP * h])
-    qv = np.array([SV * h, SV * h, 1e-5, SV * h])
-    r = np.array([SP * h, SP * h, 1e-1, SP * h])
-    return qp, qv, r
-
-
-def _init(z):
-    st = np.zeros((4, 5))
-    h = z[3]
-    st[:, 0] = z
-    st[:, 2] = np.array([2 * SP * h, 2 * SP * h, 1e-2, 2 * SP * h]) ** 2
-    st[:, 4] = np.array([10 * SV * h, 10 * SV * h, 1e-5, 10 * SV * h]) ** 2
-    return st
-
-
-def _predict(st):
-    qp, qv, _ = _noise(st[3, 0])
-    p, v, pp, pv, vv = st.T
-    return np.stack([p + v, v, pp + 2 * pv + vv + qp * qp, pv + vv, vv + qv * qv], axis=1)
-
-
-def _update(st, z):
-    _, _, r = _noise(st[3, 0])
-    p, v, pp, pv, vv = st.T
-    S = pp + r * r
-    y = z - p
-    return np.stack([p + pp / S * y, v + pv / S * y, pp - pp * pp / S, pv - pp * pv / S,
-                     vv - pv * pv / S], axis=1)
-
-
 def kalman_filter_tracks(obs: DataFrame, key: str = "track_id", frame: str = "frame_no",
                          z=("cx", "cy", "a", "h")) -> DataFrame:
     """Filtered state per frame of each observation series (one row per
