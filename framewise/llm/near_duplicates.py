@@ -294,22 +294,25 @@ def _prefixes(classes: DataFrame) -> DataFrame:
     return classes.select("cls", "n", "shared").mapInArrow(step, "cls long, token long")
 
 
-def _links(classes: DataFrame, block_rows: int) -> DataFrame:
-    """Edges that connect all linked classes."""
-    spark = classes.sparkSession
-    prefix = _prefixes(classes)
+def _links(sets: DataFrame, classes: DataFrame, block_rows: int) -> DataFrame:
+    """Edges that connect all linked classes.  ``sets`` has the shared shingles of
+    every row, ``classes`` the rows (``cls``) that stand for a class.  The sets
+    themselves move once, to their blocks; all before that is narrow."""
+    spark = sets.sparkSession
+    prefix = stored(_prefixes(sets).join(classes, "cls", "left_semi"), "prefix")
     lead = prefix.groupBy("token").agg(F.min("cls").alias("lead"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     meet = stored(prefix.join(lead, "token").filter("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct(), "meet")
     groups = connected_components(meet)
     size = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    placed = classes.join(groups.join(size, "label"), F.col("cls") == F.col("v")).drop("v")
     cuts = F.ceil(F.col("size") / block_rows)
-    placed = stored(placed.select("cls", "n", "shared", "label", "size", F.pmod(F.xxhash64("cls"), cuts).alias("cut"), cuts.alias("cuts")), "blocks")
+    places = groups.join(size, "label").select(F.col("v").alias("cls"), "label", F.pmod(F.xxhash64("v"), cuts).alias("cut"), cuts.alias("cuts"))
+    places = stored(places, "places")
+    placed = sets.join(places, "cls")
     none = F.lit(None).cast("boolean")
     edges = stored(_search(placed.select("label", "cut", F.lit(0).alias("query"), "cls", "n", "shared", F.col("cls").alias("comp"), none.alias("asked"))), "links")
-    big = placed.filter("cuts > 1")
-    if not big.limit(1).count():
+    if not places.filter("cuts > 1").limit(1).count():
         return edges
+    big = placed.filter("cuts > 1")
     # components within the cuts; then each cut's largest one asks all other cuts, then everything outside the largest of all
     for turn in range(2):
         comp = connected_components(edges) if edges.limit(1).count() else spark.createDataFrame([], "v long, label long")
@@ -332,7 +335,7 @@ def _links(classes: DataFrame, block_rows: int) -> DataFrame:
     return edges
 
 
-def jaccard_components(docs: DataFrame, chunk_tokens: int = 2_000_000, block_rows: int = 2000, hot: int = 16) -> DataFrame:
+def jaccard_components(docs: DataFrame, chunk_tokens: int = 1_000_000, block_rows: int = 2000, hot: int = 16) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``docs``
     (columns doc_id, text), and the row's ``text_hash`` (xxhash64) and ``group``,
     which is equal for the rows of one component and null for texts without words.
@@ -350,8 +353,8 @@ def jaccard_components(docs: DataFrame, chunk_tokens: int = 2_000_000, block_row
     rows = stored(_documents(_answer(_post(docs, ranges, chunk_tokens, hot), ranges)), "shingled")
     classes = rows.filter("n > 0").groupBy("mark").agg(F.min("doc_id").alias("least"), F.min(F.when(F.col("shared").isNotNull(), F.col("row"))).alias("cls"))
     classes = stored(classes, "classes")
-    held = rows.filter("shared is not null").join(classes.select("cls"), F.col("row") == F.col("cls")).select("cls", "n", "shared")
-    edges = _links(held, block_rows)
+    sets = rows.filter("shared is not null").select(F.col("row").alias("cls"), "n", "shared")
+    edges = _links(sets, classes.filter("cls is not null").select("cls"), block_rows)
     labels = connected_components(edges)
     linked = classes.join(labels, F.col("cls") == F.col("v"))
     least = linked.groupBy(F.col("label").alias("l")).agg(F.min("least").alias("low"))
