@@ -11,7 +11,8 @@ overlap enough; the result is the connected components of the links.
     that have them keep their shared shingles, rarest first; documents with equal
     sets are one class from here on.
 3.  Classes that share a shingle among their first ``shared - needed + 1`` can
-    link.  The components of that relation are blocks; large ones are cut.
+    link.  The components of that relation are blocks; those with many classes
+    or many shingles are cut.
 4.  In a block the T-occurrence search runs on inverted lists (DivideSkip): the
     short lists are merged, the long ones only probed for the candidates that the
     short ones leave, and exact overlaps decide.  A class that already belongs
@@ -269,8 +270,8 @@ def _search(blocks: DataFrame) -> DataFrame:
     """Edges found in each block (label, cut, query); rows: cls, n, shared, comp, asked (null: all of the block)."""
 
     def run(key, rows):
-        rows = rows.sort_values(["n", "cls"], kind="stable").drop_duplicates("cls") if rows["asked"].isna().all() else \
-            rows.sort_values(["asked", "n", "cls"], ascending=[False, True, True], kind="stable").drop_duplicates("cls")
+        # a class that asks in its own cut is there twice: the asking row stays
+        rows = rows.sort_values(["asked", "n", "cls"], ascending=[False, True, True], kind="stable").drop_duplicates("cls")
         asked = None if rows["asked"].isna().all() else rows["asked"].to_numpy().astype(bool)
         edges = search_block(rows["cls"].to_numpy(), rows["n"].to_numpy(), [np.frombuffer(b, np.uint64) for b in rows["shared"]],
                              rows["comp"].to_numpy(), asked)
@@ -294,7 +295,7 @@ def _prefixes(classes: DataFrame) -> DataFrame:
     return classes.select("cls", "n", "shared").mapInArrow(step, "cls long, token long")
 
 
-def _links(sets: DataFrame, classes: DataFrame, block_rows: int) -> DataFrame:
+def _links(sets: DataFrame, classes: DataFrame, block_rows: int, block_tokens: int) -> DataFrame:
     """Edges that connect all linked classes.  ``sets`` has the shared shingles of
     every row, ``classes`` the rows (``cls``) that stand for a class.  The sets
     themselves move once, to their blocks; all before that is narrow."""
@@ -303,8 +304,9 @@ def _links(sets: DataFrame, classes: DataFrame, block_rows: int) -> DataFrame:
     lead = prefix.groupBy("token").agg(F.min("cls").alias("lead"), F.count(F.lit(1)).alias("k")).filter("k > 1")
     meet = stored(prefix.join(lead, "token").filter("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct(), "meet")
     groups = connected_components(meet)
-    size = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    cuts = F.ceil(F.col("size") / block_rows)
+    width = sets.select("cls", (F.octet_length("shared") / 8).alias("width"))
+    size = groups.join(width, F.col("v") == F.col("cls")).groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("width").alias("width"))
+    cuts = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("width") / block_tokens)).cast("long")
     places = groups.join(size, "label").select(F.col("v").alias("cls"), "label", F.pmod(F.xxhash64("v"), cuts).alias("cut"), cuts.alias("cuts"))
     places = stored(places, "places")
     placed = sets.join(places, "cls")
@@ -335,7 +337,8 @@ def _links(sets: DataFrame, classes: DataFrame, block_rows: int) -> DataFrame:
     return edges
 
 
-def jaccard_components(docs: DataFrame, chunk_tokens: int = 1_000_000, block_rows: int = 2000, hot: int = 16) -> DataFrame:
+def jaccard_components(docs: DataFrame, chunk_tokens: int = 1_000_000, block_rows: int = 2000,
+                       block_tokens: int = 4_000_000, hot: int = 16) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``docs``
     (columns doc_id, text), and the row's ``text_hash`` (xxhash64) and ``group``,
     which is equal for the rows of one component and null for texts without words.
@@ -354,7 +357,7 @@ def jaccard_components(docs: DataFrame, chunk_tokens: int = 1_000_000, block_row
     classes = rows.filter("n > 0").groupBy("mark").agg(F.min("doc_id").alias("least"), F.min(F.when(F.col("shared").isNotNull(), F.col("row"))).alias("cls"))
     classes = stored(classes, "classes")
     sets = rows.filter("shared is not null").select(F.col("row").alias("cls"), "n", "shared")
-    edges = _links(sets, classes.filter("cls is not null").select("cls"), block_rows)
+    edges = _links(sets, classes.filter("cls is not null").select("cls"), block_rows, block_tokens)
     labels = connected_components(edges)
     linked = classes.join(labels, F.col("cls") == F.col("v"))
     least = linked.groupBy(F.col("label").alias("l")).agg(F.min("least").alias("low"))

@@ -69,7 +69,7 @@ def family(rnd, size, words, edits):
     return out
 
 
-@pytest.mark.parametrize("params", [{}, {"chunk_tokens": 3000, "hot": 2}, {"block_rows": 7}, {"block_rows": 3, "chunk_tokens": 900, "hot": 1}])
+@pytest.mark.parametrize("params", [{}, {"chunk_tokens": 3000, "hot": 2}, {"block_rows": 7}, {"block_tokens": 1500}, {"block_rows": 3, "chunk_tokens": 900, "hot": 1}])
 def test_families_and_shared_passages(spark, params):
     rnd = random.Random(8)
     passage = prose(rnd, 60)
