@@ -3,11 +3,12 @@
 Documents become token pieces of at most one sequence's length.  Pieces are
 dealt over partitions of a fixed size; each partition packs its own by best-fit
 decreasing and compares its bin count with lower bounds from dual-feasible
-functions.  A partition whose count equals its bound is certified: it keeps all
-bins but the loosest one.  A partition with a gap gives up as many of its
-loosest bins as it takes to offer choice.  What was given up is dealt anew over
-fewer partitions and packed again, until the total equals the bound of the whole
-corpus or a round gains nothing.
+functions.  A partition whose count equals its share of the corpus bound is
+certified: it keeps all bins but the loosest one.  A partition with a gap gives
+up as many of its loosest bins as it takes to offer choice.  What was given up is dealt anew over
+fewer partitions and packed again, there also bin by bin where best-fit misses
+the bound, until the total equals the bound of the whole corpus or a round gains
+nothing.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordCache, chunks, stored
+from .common import WordCache, chunks, schema_of, stored
 
 CAPACITY = 2048
 
@@ -179,20 +181,83 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, places, np.asarray(free, np.int64)
 
 
-def _pack_round(pieces: DataFrame, turn: int, parts: int, capacity: int) -> DataFrame:
-    """Deal the pieces over ``parts`` partitions, pack each, mark what it gives up."""
+def fill_up(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like :func:`best_fit`, bin by bin: the largest item left, with the left
+    items that come nearest to filling the rest.  Sums that can be reached are
+    bits of one integer, and the search ends when the rest can be filled."""
+    left: dict[int, list[int]] = {}
+    for i, size in enumerate(lengths.tolist()):
+        left.setdefault(size, []).append(i)
+    sizes = sorted(left, reverse=True)
+    bins, places, free = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), []
+    while sizes:
+        rest = capacity - sizes[0]
+        within, reach, steps = (1 << (rest + 1)) - 1, 1, []
+        for d in sizes:
+            n = min(len(left[d]) - (d == sizes[0]), rest // d)
+            take = 1
+            while n > 0 and not reach >> rest & 1:
+                take = min(take, n)
+                steps.append((d, take, reach))
+                reach |= reach << (d * take) & within
+                n -= take
+                take *= 2
+            if reach >> rest & 1:
+                break
+        total = reach.bit_length() - 1
+        chosen = [(sizes[0], 1)]
+        for d, n, before in reversed(steps):
+            if not before >> total & 1:
+                chosen.append((d, n))
+                total -= d * n
+        at = 0
+        for d, n in chosen:
+            for _ in range(n):
+                i = left[d].pop()
+                bins[i], places[i] = len(free), at
+                at += d
+        free.append(capacity - at)
+        if any(not left[d] for d, _ in chosen):
+            sizes = [d for d in sizes if left[d]]
+    return bins, places, np.asarray(free, np.int64)
+
+
+def _pack_round(pieces: DataFrame, turn: int, parts: int, capacity: int, share: float) -> DataFrame:
+    """Deal the pieces over ``parts`` partitions, pack each, mark what it gives up.
+
+    ``share`` is the corpus bound per id.  A partition whose bins are no more
+    than its ids' share is as good as the corpus can be; one whose own bound is
+    higher drew too many large pieces, and only an exchange can mend that.
+    """
     schema = T.StructType([f for f in pieces.schema.fields if f.name not in ("sequence_id", "offset", "open")]
                           + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
                              T.StructField("open", T.BooleanType())])
     plain = [f.name for f in schema.fields[:-3]]
-    dealt = pieces.select(*plain, F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(turn)), F.lit(parts)).alias("__part"))
+
+    def deal(batches):
+        """Each batch goes round the partitions in order of size, so that all
+        of them see the same mix of large and small pieces."""
+        task = TaskContext.get().partitionId()
+        for k, b in enumerate(batches):
+            part = np.empty(b.num_rows, np.int64)
+            start = int(np.random.default_rng([turn, task, k]).integers(parts))
+            part[np.argsort(b.column("length").to_numpy(), kind="stable")] = (start + np.arange(b.num_rows)) % parts
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part)], names=[*b.schema.names, "__part"])
+
+    dealt = pieces.select(*plain)
+    dealt = dealt.mapInArrow(deal, schema_of(dealt, [("__part", T.LongType())]))
 
     def pack(key, rows):
         rows = rows.drop(columns="__part").sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
         size = rows["length"].to_numpy()
         bins, places, free = best_fit(size, capacity)
-        gap = len(free) - lower_bound(np.bincount(size, minlength=capacity + 1), capacity)
-        give = min(len(free), 1 if gap <= 0 else 16 + 8 * gap)
+        bound = lower_bound(np.bincount(size, minlength=capacity + 1), capacity)
+        if turn and len(free) > bound:  # what other partitions gave up fits badly as it is
+            other = fill_up(size, capacity)
+            if len(other[2]) < len(free):
+                bins, places, free = other
+        gap = len(free) - math.ceil(size.sum() * share - 1e-9)
+        give = min(len(free), 1 if gap <= 0 else 64 + 32 * gap)
         loose = np.zeros(len(free), bool)
         loose[np.argsort(-free, kind="stable")[:give]] = True
         rows["sequence_id"] = bins + (key[0] << 24) + (turn << 52)
@@ -220,9 +285,11 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = 60
         counts[r["length"]] = r["count"]
     n, bound = int(counts.sum()), lower_bound(counts, capacity)
     done, settled, held = full, 0, None
+    share = bound / max(1, int((counts * np.arange(capacity + 1)).sum()))
     for turn in range(rounds):
-        parts = max(1, math.ceil(n / part_rows))
-        packed = stored(_pack_round(rest, turn, parts, capacity), f"packed-{turn}")
+        # what misses the bound in small company may reach it in larger
+        parts = max(1, math.ceil(n / (part_rows << min(turn, 3))))
+        packed = stored(_pack_round(rest, turn, parts, capacity, share), f"packed-{turn}")
         s = packed.agg(F.count_distinct(F.when(~F.col("open"), F.col("sequence_id"))).alias("kept"),
                        F.count_distinct(F.when(F.col("open"), F.col("sequence_id"))).alias("open"),
                        F.count_if("open").alias("n")).first()
