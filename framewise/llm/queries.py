@@ -11,6 +11,7 @@ from .fingerprints import op9_spotsigs
 from .language_id import op10_language_id
 from .mixing import op6_mix
 from .near_duplicates import op5_jaccard
+from .oracles import OP4, OP5
 from .packing import pack_documents
 from .personal_data import op3_personal_data
 from .quality import op8_quality
@@ -40,4 +41,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": _over_documents(op10_language_id),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_quality_rules": OP4, "op5_jaccard_join": OP5}

@@ -1,9 +1,12 @@
 """The entry file's part of this subpackage."""
 
+import duckdb
+import pytest
+
 import __spark_entry__ as entry
 import corpus_pipeline
-from framewise.llm.queries import QUERIES
-from framewise.session import TABLES  # noqa: F401
+from framewise.llm.queries import ORACLES, QUERIES
+from framewise.session import TABLES
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,3 +28,14 @@ def test_pipeline_equals_its_stages(spark):
     assert set(out.doc_id) == {r["doc_id"] for r in kept.select("doc_id").collect()}
     assert 0 < len(set(out.doc_id)) < docs.count()
     assert out.groupby("sequence_id").length.sum().max() <= 2048
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_oracle(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    got, want = QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()
+    cols = sorted(want.columns)
+    assert sorted(got.columns) == cols
+    assert sorted(map(tuple, got[cols].to_numpy().tolist())) == sorted(map(tuple, want[cols].to_numpy().tolist()))
