@@ -88,6 +88,13 @@ def split_rank(df: DataFrame, key: str, ident: Column, rows: int, target: int =
             .drop("__k", "__s", "__sub", "__rn", "__off"))
 
 
+def about(df: DataFrame, rows: int, seed: int = 7) -> DataFrame:
+    """About ``rows`` rows of ``df``, at most twice as many: each is taken with the
+    same chance, so nothing is sorted and no task sends more than its share."""
+    n = df.count()
+    return df if n <= rows else df.filter(F.rand(seed) < rows / n).limit(2 * rows)
+
+
 def bounded_rows(df: DataFrame, most: int) -> list:
     """Collect a table whose size a parameter bounds; more rows are an error."""
     rows = df.limit(most + 1).collect()

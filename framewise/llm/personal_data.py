@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import schema_of
+from .common import about, schema_of
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # none, then first and further character of each kind
@@ -337,9 +337,9 @@ def train(rows: list[tuple[bytes, bytes]], steps: int = 160, batch: int = 48, ra
 
 
 def fit_tagger(docs: DataFrame, windows: int = 1500, text_col: str = "text") -> Tagger | None:
-    """Train on ``windows`` labelled windows (a documented bound): those with the
-    least hash among all windows around digits and at signs of the whole table,
-    without those in which a pattern matched a long number but turned it down.
+    """Train on at most ``windows`` labelled windows (a documented bound) around
+    the digits and at signs of about as many whole texts that have any, without
+    windows in which a pattern matched a long number but turned it down.
     Characters in two spans take the earlier kind's tag."""
 
     def step(batches):
@@ -366,8 +366,9 @@ def fit_tagger(docs: DataFrame, windows: int = 1500, text_col: str = "text") ->
             yield pd.DataFrame(out, columns=["h", "ids", "tags"])
 
     texts = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    got = texts.mapInPandas(step, "h string, ids binary, tags binary").orderBy("h", "ids", "tags").limit(windows).collect()
-    return train([(bytes(r["ids"]), bytes(r["tags"])) for r in got])
+    got = about(texts, windows).mapInPandas(step, "h string, ids binary, tags binary").limit(20 * windows).collect()
+    got.sort(key=lambda r: (r["h"], r["ids"], r["tags"]))
+    return train([(bytes(r["ids"]), bytes(r["tags"])) for r in got[:windows]])
 
 
 def _all_spans(texts: list[str], model: Tagger | None) -> list[tuple[list, list]]:
