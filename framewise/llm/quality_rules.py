@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, free_name, let, stored
+from .common import SPACES, about, free_name, let, stored
 
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -118,14 +118,14 @@ def estimate(docs: DataFrame, rules: list[Rule], text_col: str = "text", rows: i
     """The rules in cascade order with estimated cost (seconds on the sample) and
     share of the documents reaching them that they reject.
 
-    The sample is the ``rows`` texts with the least hash (a documented bound; it
-    decides the order of evaluation only, never a verdict).  A rule's cost is
+    The sample has about ``rows`` texts (a documented bound; it decides the order
+    of evaluation only, never a verdict).  A rule's cost is
     the time of a pass that counts its inputs from the text and tests it, less an
     empty pass.  Rules are then taken greedily by rejection per cost among the
     texts that the rules before let pass.
     """
     text = docs.select(F.col(text_col).alias("text")).filter("text is not null")
-    sample = stored(text.orderBy(F.xxhash64("text")).limit(rows), "rules-sample")
+    sample = stored(about(text, rows), "rules-sample")
 
     def seconds(df: DataFrame) -> float:
         took = []
