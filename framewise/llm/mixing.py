@@ -1,32 +1,46 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents form blocks.  Block k of a source with weight w is
-released at floor(k / w) and due at ceil((k + 1) / w); in every slot the released
-block with the earliest deadline goes next.  With weights that sum to one this
-keeps every source within one block of its target after any number of slots.
-
-Weights are rounded to whole shares of a period, so the order repeats with the
-period and a timetable of one period orders any number of documents.  When a
-source runs out the others go on under a new timetable with their weights scaled
-up; no document is dropped or repeated.  The rows themselves are placed by
-DataFrame functions only.
+Each source's documents form blocks, and its target is its part of a fluid that
+serves all sources with rows left in proportion to their weights; when a source
+runs out the others share its part.  Block k of a source is released at the slot
+in which the fluid begins it and due when the fluid has finished it; in every
+slot the released block with the earliest deadline goes next.  Every block then
+meets its window, so that after any number of slots every source is within one
+block of its target.  Weights are taken as they are (a float is a fraction), in
+integer arithmetic, so nothing is rounded and no error adds up; no document is
+dropped or repeated.
+
+The order of blocks is one pass over a heap on the driver, handed on in stretches
+of bounded size; the rows themselves are placed by DataFrame functions only.
 """
 
 from __future__ import annotations
 
 import heapq
-
-from pyspark.sql import DataFrame
+import math
+import uuid
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .common import bounded_rows, split_rank
 
 PERIOD = 1024
 MAX_SOURCES = 64
+#: Blocks whose places leave the driver at a time.
+STRETCH = 1 << 18
 
 
 def shares(weights: list[float], period: int) -> list[int]:
-    """Whole shares of ``period`` near the weights, at least one each (largest remainder)."""
+    """Whole shares of ``period`` near the weights, at least one each (largest
+    remainder).  For timetables of one period; :func:`mix` rounds no weight."""
     total = sum(weights)
     ideal = [w / total * period for w in weights]
     got = [max(1, int(x)) for x in ideal]
@@ -41,53 +55,69 @@ def shares(weights: list[float], period: int) -> list[int]:
     return got
 
 
-def timetable(parts: list[int]) -> list[int]:
-    """Source of each slot of one period of sum(parts) slots: earliest deadline
-    first among the released blocks, ties to the earlier source."""
-    period = sum(parts)
-    waiting = [(0, i, 0) for i in range(len(parts))]  # release, source, block
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for t in range(period):
+def deal(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int]]:
+    """(source, block) of each slot: earliest deadline first among the released
+    blocks, ties to the earlier source.  Weights are positive.
+
+    Up to the end of source g (in the order in which the fluid finishes them) the
+    fluid has served ``gone[g] + rate[g] * v`` blocks at virtual time v, and source i
+    has had k of them at v = k / q[i], so every window is a whole-number division.
+    """
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*(x.denominator for x in exact))
+    q = [int(x * scale) for x in exact]
+    if any(x <= 0 for x in q):
+        raise ValueError("weights must be positive")
+    ends = sorted((i for i, b in enumerate(blocks) if b), key=lambda i: Fraction(blocks[i], q[i]))
+    close = [blocks[i] / q[i] for i in ends]
+    gone = [0, *accumulate(blocks[i] for i in ends)]
+    rate = [*accumulate((q[i] for i in reversed(ends)), initial=0)][::-1]
+
+    def served(i: int, k: int) -> tuple[int, int]:
+        """What the fluid has served when source i has had k blocks, rounded down and up."""
+        g = bisect_left(close, k / q[i])
+        while g < len(ends) and blocks[ends[g]] * q[i] < k * q[ends[g]]:
+            g += 1
+        while g and blocks[ends[g - 1]] * q[i] >= k * q[ends[g - 1]]:
+            g -= 1
+        whole, rest = divmod(rate[g] * k, q[i])
+        return gone[g] + whole, gone[g] + whole + (rest > 0)
+
+    waiting = [(0, i, 0) for i in sorted(ends)]  # release, source, block
+    ready: list[tuple[int, int, int, int]] = []
+    for t in range(gone[-1]):
         while waiting and waiting[0][0] <= t:
             _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * period // parts[i]), i, k))
-        due, i, k = heapq.heappop(ready)
-        assert due > t, "Pfair windows always fit when the shares fill the period"
-        out.append(i)
-        if k + 1 < parts[i]:
-            heapq.heappush(waiting, ((k + 1) * period // parts[i], i, k + 1))
-    return out
+            following, due = served(i, k + 1)
+            heapq.heappush(ready, (due, i, k, following))
+        due, i, k, following = heapq.heappop(ready)
+        assert due > t, "Pfair windows always fit: the fluid fills every slot"
+        yield i, k
+        if k + 1 < blocks[i]:
+            heapq.heappush(waiting, (following, i, k + 1))
+
+
+def timetable(parts: list[int]) -> list[int]:
+    """Source of each slot when sources with ``parts`` blocks end together."""
+    return [i for i, _ in deal(parts, parts)]
 
 
 def schedule(blocks: list[int], weights: list[float], period: int = PERIOD) -> tuple[list[dict], list[tuple]]:
-    """Segments, one ending whenever a source runs out, and their timetables.
+    """The order of :func:`deal` cut into periods, each with its own timetable.
 
     A segment row has, for one source: seg, src, first block, number of blocks,
     share of the period, first slot.  A timetable row: seg, src, j (the source's
-    j-th block within a period), slot.  Both are bounded by the number of sources
-    and the period.
+    j-th block within the period), slot.
     """
-    left, used, start = list(blocks), [0] * len(blocks), 0
-    segments, slots, seg = [], [], 0
-    while any(left):
-        act = [i for i, b in enumerate(left) if b]
-        parts = shares([weights[i] for i in act], period)
-        order = timetable(parts)
-        where: list[list[int]] = [[] for _ in act]
-        for t, a in enumerate(order):
-            where[a].append(t)
-        end = min((left[i] - 1) // parts[a] * period + where[a][(left[i] - 1) % parts[a]] + 1 for a, i in enumerate(act))
-        for a, i in enumerate(act):
-            took = end // period * parts[a] + sum(t < end % period for t in where[a])
-            segments.append({"seg": seg, "src": i, "first": used[i], "blocks": took, "share": parts[a], "start": start})
-            slots += [(seg, i, j, t) for j, t in enumerate(where[a])]
-            used[i] += took
-            left[i] -= took
-        start += end
-        seg += 1
-    return segments, slots
+    segments: dict[tuple[int, int], dict] = {}
+    slots = []
+    for t, (i, k) in enumerate(deal(blocks, weights)):
+        seg = t // period
+        s = segments.setdefault((seg, i), {"seg": seg, "src": i, "first": k, "blocks": 0, "share": 0, "start": seg * period})
+        slots.append((seg, i, s["blocks"], t % period))
+        s["blocks"] += 1
+        s["share"] += 1
+    return list(segments.values()), slots
 
 
 def source_weights(sizes: dict[str | None, int], temperature: float) -> dict[str | None, float]:
@@ -95,6 +125,28 @@ def source_weights(sizes: dict[str | None, int], temperature: float) -> dict[str
     return {s: float(n) ** temperature for s, n in sizes.items()}
 
 
+def _places(spark: SparkSession, order: Iterator[tuple[int, int]], counts: list[int], block: int) -> DataFrame:
+    """__tsrc, __j, __first: the number of rows before each block, from the blocks in
+    order.  Written by stretches, so the driver never holds them all; a source's
+    last block can be short."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/mix-{uuid.uuid4().hex[:12]}"
+    names, before, more = ["__tsrc", "__j", "__first"], 0, True
+    while more:
+        src, nth, first = array("i"), array("q"), array("q")
+        more = False
+        for i, k in order:
+            src.append(i)
+            nth.append(k)
+            first.append(before)
+            before += min(block, counts[i] - k * block)
+            if len(src) == STRETCH:
+                more = True
+                break
+        rows = pa.table([pa.array(src, pa.int32()), pa.array(nth, pa.int64()), pa.array(first, pa.int64())], names=names)
+        spark.createDataFrame(rows).write.mode("append").parquet(path)
+    return spark.read.schema("__tsrc int, __j long, __first long").parquet(path)
+
+
 def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "source", block: int = 8,
         temperature: float = 0.5, max_sources: int = MAX_SOURCES, period: int = PERIOD) -> DataFrame:
     """Add ``position``: the gapless place of each row in the mixed order.
@@ -103,7 +155,7 @@ def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "sour
     of ``temperature``).  A null source is a source of its own.  The
     ``max_sources - 1`` largest sources are mixed one by one; smaller ones, and
     sources without a weight, are pooled into one with their summed weight, all
-    rows kept; without any weight the pool gets the least share of a period.  Inside a source the order is by hash and value of ``ident``.
+    rows kept; without any weight the pool gets next to none.  Inside a source the order is by hash and value of ``ident``.
     Repeated rows each get a place; an empty table gives an empty one.
     """
     sizes = docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n"))
@@ -127,28 +179,10 @@ def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "sour
     out = out.join(F.broadcast(mapped), F.col("__source").eqNullSafe(F.col("__s")), "left")
     out = out.select("__row", "__id", F.coalesce("__src", F.lit(len(named))).alias("__src"))
     out = split_rank(out, "__src", F.col("__id"), rows)
-    blocks = [-(-n // block) for n in counts]
-    segments, slots = schedule(blocks, target, period)
-    # slots that a short last block leaves empty, by the block's place
-    gaps = []
-    for i, n in enumerate(counts):
-        if n % block:
-            s = [g for g in segments if g["src"] == i and g["blocks"]][-1]
-            j = s["blocks"] - 1
-            at = next(t for a, b, c, t in slots if (a, b, c) == (s["seg"], i, j % s["share"]))
-            gaps.append((s["start"] + j // s["share"] * period + at, block - n % block))
-    seg = spark.createDataFrame([tuple(g[k] for k in ("seg", "src", "first", "blocks", "share", "start")) for g in segments if g["blocks"]],
-                                "__seg int, __gsrc int, __first long, __blocks long, __share long, __start long")
-    table = spark.createDataFrame(slots, "__tseg int, __tsrc int, __j long, __slot long")
+    table = _places(spark, deal([-(-n // block) for n in counts], target), counts, block)
     out = out.withColumn("__k", F.expr(f"rank div {block}"))
-    out = out.join(F.broadcast(seg), (F.col("__src") == F.col("__gsrc")) & (F.col("__k") >= F.col("__first"))
-                   & (F.col("__k") < F.col("__first") + F.col("__blocks")))
-    out = out.withColumn("__in", F.col("__k") - F.col("__first"))
-    out = out.join(F.broadcast(table), (F.col("__seg") == F.col("__tseg")) & (F.col("__src") == F.col("__tsrc"))
-                   & (F.col("__in") % F.col("__share") == F.col("__j")))
-    out = out.withColumn("__b", F.expr(f"__start + (__in div __share) * {period} + __slot"))
-    lost = sum((F.when(F.col("__b") > at, size).otherwise(0) for at, size in gaps), F.lit(0))
-    out = out.withColumn("position", F.col("__b") * block + F.expr(f"rank % {block}") - lost)
+    out = out.join(table, (F.col("__src") == F.col("__tsrc")) & (F.col("__k") == F.col("__j")))
+    out = out.withColumn("position", F.col("__first") + F.expr(f"rank % {block}"))
     return out.select("__row.*", F.col("position").cast("long"))
 
 

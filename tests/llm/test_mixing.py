@@ -59,3 +59,37 @@ def test_rows_in_mixed_order(spark):
     assert mixed.columns == docs.columns
     want = mixing.op6_mix(docs).orderBy("position").select("doc_id").collect()
     assert [r["doc_id"] for r in mixed.collect()] == [r["doc_id"] for r in want]
+
+
+def test_deviation_from_true_weights_stays_below_one_block():
+    """The bound holds against the weights as given, however many periods pass."""
+    rng = np.random.default_rng(2)
+    cases = [[1.0] * 20, [1.0, 1e-5, 0.3], rng.random(30).tolist()]
+    for weights in cases:
+        target = np.array(weights) / sum(weights)
+        blocks = np.floor(40_000 * target).astype(int) + 1
+        segments, slots = mixing.schedule(blocks.tolist(), weights)
+        order = np.empty(blocks.sum(), int)
+        place = {(a, b, c): t for a, b, c, t in slots}
+        for s in segments:
+            for k in range(s["blocks"]):
+                order[s["start"] + k // s["share"] * mixing.PERIOD + place[s["seg"], s["src"], k % s["share"]]] = s["src"]
+        order = order[:39_000]  # no source has run out
+        for i, w in enumerate(target):
+            lag = np.cumsum(order == i) - w * np.arange(1, len(order) + 1)
+            assert np.abs(lag).max() < 1
+
+
+def test_sources_keep_to_the_fluid_after_one_runs_out():
+    blocks, weights = np.array([500, 2000, 3000]), np.array([0.5, 0.3, 0.2])
+    seen = np.cumsum(np.eye(3, dtype=int)[[i for i, _ in mixing.deal(blocks.tolist(), weights.tolist())]], axis=0)
+    t = np.arange(1, len(seen) + 1)[:, None]
+    late = weights[1:] * 1000  # what the two had when the first ran out, after 1000 slots
+    want = np.hstack([np.minimum(t * 0.5, 500), np.where(t <= 1000, t * weights[1:], late + (t - 1000) * weights[1:] / 0.5)])
+    assert np.abs(seen - want)[:3800].max() < 1
+
+
+def test_places_leave_the_driver_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 7)
+    df = spark.createDataFrame([(i, "ab"[i % 3 == 0]) for i in range(200)], "doc_id long, source string")
+    assert sorted(r["position"] for r in mixing.mix(df, ["doc_id"], block=4).collect()) == list(range(200))
