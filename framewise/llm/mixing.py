@@ -23,17 +23,16 @@ from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import bounded_rows, split_rank
+from .common import split_rank
 
 PERIOD = 1024
-MAX_SOURCES = 64
 #: Blocks whose places leave the driver at a time.
 STRETCH = 1 << 18
 
@@ -148,38 +147,44 @@ def _places(spark: SparkSession, order: Iterator[tuple[int, int]], counts: list[
 
 
 def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "source", block: int = 8,
-        temperature: float = 0.5, max_sources: int = MAX_SOURCES, period: int = PERIOD) -> DataFrame:
+        temperature: float = 0.5, max_sources: int | None = None) -> DataFrame:
     """Add ``position``: the gapless place of each row in the mixed order.
 
     ``weights`` maps sources to target weights (default: row counts to the power
-    of ``temperature``).  A null source is a source of its own.  The
-    ``max_sources - 1`` largest sources are mixed one by one; smaller ones, and
-    sources without a weight, are pooled into one with their summed weight, all
-    rows kept; without any weight the pool gets next to none.  Inside a source the order is by hash and value of ``ident``.
-    Repeated rows each get a place; an empty table gives an empty one.
+    of ``temperature``).  A null source is a source of its own.  Every source is
+    mixed by itself, however many there are; the driver holds one small row per
+    source.  Sources to which ``weights`` gives nothing have no target: they come
+    after all others, mixed among themselves by the default weights.  A caller who
+    gives ``max_sources`` has the sources of least weight beyond ``max_sources - 1``
+    mixed as one with their summed weight, all rows kept.  Inside a source the
+    order is by hash and value of ``ident``.  Repeated rows each get a place; an
+    empty table gives an empty one.
     """
-    sizes = docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    top = bounded_rows(sizes.orderBy(F.desc("n"), F.col("s").asc_nulls_last()).limit(max_sources - 1), max_sources)
-    rows = docs.agg(F.count(F.lit(1))).first()[0]
-    named = [r for r in top if weights is None or weights.get(r["s"])]
-    goal = source_weights({r["s"]: r["n"] for r in named}, temperature) if weights is None else {r["s"]: weights[r["s"]] for r in named}
-    counts, target = [r["n"] for r in named], [goal[r["s"]] for r in named]
-    pooled = rows - sum(counts)
-    if pooled:
-        known = {r["s"] for r in named}
-        rest = float(pooled) ** temperature if weights is None else sum(w for s, w in weights.items() if s not in known)
-        counts.append(pooled)
-        target.append(max(rest, 1e-9))
-    place = {r["s"]: i for i, r in enumerate(named)}
+    sizes = {r["s"]: r["n"] for r in docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = sum(sizes.values())
+    usual = source_weights(sizes, temperature)
+    goal = usual if weights is None else {s: weights[s] for s in sizes if weights.get(s)}
+    by_weight = sorted(goal, key=lambda s: (-goal[s], s is not None, s))
+    alone = by_weight if max_sources is None else by_weight[:max_sources - 1]
+    groups = [[s] for s in alone] + [[s] for s in sizes if s not in goal]
+    pool = by_weight[len(alone):]
+    if pool:
+        groups.insert(len(alone), pool)
+    place = {s: i for i, g in enumerate(groups) for s in g}
+    counts = [sum(sizes[s] for s in g) for g in groups]
+    aimed = len(alone) + bool(pool)
+    target = [sum(goal[s] for s in g) for g in groups[:aimed]] + [usual[s] for (s,) in groups[aimed:]]
     spark = docs.sparkSession
-    mapped = spark.createDataFrame([(s, i) for s, i in place.items()], "__s string, __src int")
+    mapped = spark.createDataFrame(pa.table({"__s": pa.array(list(place), pa.string()), "__src": pa.array(list(place.values()), pa.int32())}))
     kept = [c for c in docs.columns if c.lower() != "position"]
     # the row's own columns travel as one, so that their names meet no other
     out = docs.select(F.struct(*kept).alias("__row"), F.col(source_col).cast("string").alias("__source"), F.struct(*ident).alias("__id"))
     out = out.join(F.broadcast(mapped), F.col("__source").eqNullSafe(F.col("__s")), "left")
-    out = out.select("__row", "__id", F.coalesce("__src", F.lit(len(named))).alias("__src"))
+    out = out.select("__row", "__id", "__src")
     out = split_rank(out, "__src", F.col("__id"), rows)
-    table = _places(spark, deal([-(-n // block) for n in counts], target), counts, block)
+    blocks = [-(-n // block) for n in counts]
+    rest = ((i + aimed, k) for i, k in deal(blocks[aimed:], target[aimed:]))
+    table = _places(spark, chain(deal(blocks[:aimed], target[:aimed]), rest), counts, block)
     out = out.withColumn("__k", F.expr(f"rank div {block}"))
     out = out.join(table, (F.col("__src") == F.col("__tsrc")) & (F.col("__k") == F.col("__j")))
     out = out.withColumn("position", F.col("__first") + F.expr(f"rank % {block}"))

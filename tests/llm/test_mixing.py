@@ -93,3 +93,40 @@ def test_places_leave_the_driver_in_stretches(spark, monkeypatch):
     monkeypatch.setattr(mixing, "STRETCH", 7)
     df = spark.createDataFrame([(i, "ab"[i % 3 == 0]) for i in range(200)], "doc_id long, source string")
     assert sorted(r["position"] for r in mixing.mix(df, ["doc_id"], block=4).collect()) == list(range(200))
+
+
+def lags(out, weights):
+    """Largest deviation of each source from its target, in rows, while all have rows left."""
+    left = int(min((out.source == s).sum() / w for s, w in weights.items()) * 0.9)
+    head = out.sort_values("position").source[:left]
+    return {s: np.abs(np.cumsum(head == s) - w * np.arange(1, left + 1)).max() for s, w in weights.items()}
+
+
+def test_each_of_many_sources_keeps_to_its_weight(spark):
+    sizes = {f"s{i}": 12 + i % 17 for i in range(150)}
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))], "doc_id long, source string")
+    out = mixing.mix(df, ["doc_id"], block=1).toPandas()
+    assert sorted(out.position) == list(range(sum(sizes.values())))
+    total = sum(n ** 0.5 for n in sizes.values())
+    assert max(lags(out, {s: n ** 0.5 / total for s, n in sizes.items()}).values()) < 1
+
+
+def test_small_sources_keep_given_weights(spark):
+    rows = [(i, f"big{i % 70}") for i in range(1400)] + [(1400 + i, "small") for i in range(10)] + [(1410 + i, None) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    goal = {"small": 0.25, None: 0.25, "big0": 0.5}
+    out = mixing.mix(df, ["doc_id"], weights={**goal, "absent": 5.0}, block=1).toPandas().sort_values("position")
+    out["source"] = out.source.astype(object).where(out.source.notna(), None)
+    assert out.position.tolist() == list(range(1420))
+    assert set(out.source[:40]) == set(goal)  # the others have no weight, and the absent source's goes to nobody
+    head = out.source[:36].map(lambda s: s or "none")
+    for s, w in {"small": 0.25, "none": 0.25, "big0": 0.5}.items():
+        assert np.abs(np.cumsum(head == s) - w * np.arange(1, 37)).max() < 1
+
+
+def test_asked_for_pool_has_the_summed_weight(spark):
+    df = spark.createDataFrame([(i, "big" if i < 100 else f"s{i % 25}") for i in range(200)], "doc_id long, source string")
+    out = mixing.mix(df, ["doc_id"], block=1, max_sources=2).toPandas()
+    out["source"] = np.where(out.source == "big", "big", "pool")
+    share = 10 / (10 + 25 * 2)
+    assert max(lags(out, {"big": share, "pool": 1 - share}).values()) < 1
