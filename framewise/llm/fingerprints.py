@@ -1,6 +1,7 @@
 """SpotSigs fingerprints: chains of content words that follow common words.
 
-Common words ("the", "der", "les", "que") are anchors; an anchor and the next
+Common words ("the", "der", "les", "que") are anchors, and so are words picked by
+their hash, which every language and every list has; an anchor and the next
 content words after it form one signature.  A text's fingerprint is the set of
 its signatures, and likeness is the Jaccard index of two sets.  Sets are filed
 under a length partition, and a pair whose lengths alone rule out a likeness is
@@ -10,6 +11,7 @@ not intersected.  DataFrame functions only.
 from __future__ import annotations
 
 import math
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +19,24 @@ from pyspark.sql.window import Window
 
 from .common import let
 
-#: Common words that begin a chain (fixed values; English, German, French, Spanish).
-ANCHORS = ["the", "of", "is", "was", "der", "die", "und", "ist", "le", "les", "est", "et", "el", "los", "que", "es"]
+#: One word in so many begins a chain for its hash alone.
+PICKED = 2
+
+
+class Anchors(list):
+    """The listed words, which iteration gives; words picked by their hash belong too."""
+
+    def __contains__(self, word) -> bool:
+        return super().__contains__(word) or zlib.crc32(word.encode()) % PICKED == 0
+
+
+#: Words that begin a chain (fixed values; English, German, French, Spanish), besides the picked ones.
+ANCHORS = Anchors(["the", "of", "is", "was", "der", "die", "und", "ist", "le", "les", "est", "et", "el", "los", "que", "es"])
 #: Further common words that a chain steps over (fixed values).
 STEPPED = ["a", "an", "and", "to", "in", "for", "on", "that", "it", "with", "as", "be", "by", "are", "this", "from",
            "das", "den", "ein", "eine", "zu", "von", "mit", "auf", "la", "de", "des", "du", "en", "un", "une", "las", "del", "por", "con", "y"]
-MARKS = ".,;:!?\"()[]|"
+#: Removed wherever they stand, so that they hide no anchor.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»‘“”„…–—•·、。，！？：；（）「」"
 HEAD, REACH, CHAIN = 16, 7, 2
 
 
@@ -37,17 +51,24 @@ def signatures(text: Column) -> Column:
 
     Every anchor begins a chain of the next CHAIN content words among the REACH
     words behind it.  The first HEAD words begin one each too, so that short texts
-    and texts without common words have signatures.  A null text, or one that is
-    only marks and blanks, has none.
+    have signatures.  Where no anchor follows them and their chains do not reach
+    the end, every word begins one, so no text goes by its first words alone.  (A
+    run of repeated words that are no anchors still adds nothing between or behind
+    later anchors.)  A null text, or one that is only marks and blanks, has none.
     """
     common = [*ANCHORS, *STEPPED]
 
+    def begins(x: Column) -> Column:
+        return x.isin([*ANCHORS]) | (F.crc32(x.cast("binary")) % PICKED == 0)
+
     def chain(w: Column, i: Column) -> Column:
         after = F.filter(F.slice(w, i + 2, REACH), lambda x: ~x.isin(common))
         return F.pmod(F.xxhash64(F.get(w, i), F.slice(after, 1, CHAIN)), F.lit(1 << 40))
 
     def chains(w: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i < HEAD) | F.get(w, i).isin(ANCHORS))
+        every = F.sequence(F.lit(0), F.size(w) - 1)
+        some = F.filter(every, lambda i: (i < HEAD) | begins(F.get(w, i)))
+        at = let(some, lambda a: F.when((F.size(w) > HEAD + REACH) & (F.element_at(a, -1) < HEAD), every).otherwise(a))
         return F.array_sort(F.array_distinct(F.transform(at, lambda i: chain(w, i))))
 
     return let(spots(text), lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(chains(w)))

@@ -68,3 +68,33 @@ def test_pruning_only_drops_pairs_below_the_level(spark):
     df = spark.createDataFrame(rows, "a array<long>, b array<long>")
     r = df.select(fp.likeness(F.col("a"), F.col("b")).alias("x"), fp.likeness(F.col("a"), F.col("b"), 0.7).alias("y")).collect()
     assert [(round(a.x, 3), round(a.y, 3)) for a in r] == [(0.75, 0.75), (0.333, 0.0), (1.0, 1.0), (0.0, 0.0)]
+
+
+def test_whole_texts_count_in_any_language_and_in_lists(spark):
+    """Texts that differ only behind their first 23 words have different fingerprints."""
+    spare = [w for i in range(200) if (w := f"z{i}") not in fp.ANCHORS]
+    head = [f"kolo{i}" for i in range(16)] + spare[:7]
+    tails = {"italian": "il mare non era mai stato cosi calmo come quella mattina di maggio".split(),
+             "russian": "море никогда не было таким спокойным как в то майское утро".split(),
+             "list": [x for i in range(12) for x in ("|", f"item{i}")],
+             "marks": [f"w{i}&&&" for i in range(12)],
+             "one word": ["lalala"] * 12,
+             "chinese": ["海从来没有", "像五月的", "那个早晨", "一样平静", "过海从来", "没有像", "五月的那", "个早晨一", "样平静过"]}
+    rows = [(n, k, " ".join(head + [x + "q" * k for x in t])) for n, t in tails.items() for k in range(4)]
+    # no word behind the 16th is an anchor, listed or picked
+    rows += [("bare", k, " ".join(head + [w] * 30)) for k, w in enumerate(spare[7:10])]
+    df = spark.createDataFrame(rows, "kind string, k int, text string")
+    out = df.select("kind", fp.fingerprint(fp.signatures(F.col("text"))).alias("f")).toPandas()
+    assert out.f.is_unique
+
+
+def test_marks_hide_no_anchor(spark):
+    df = spark.createDataFrame([("of%%% the&&& sea*** “the” calm$$$",), ("of the sea the calm",)], "text string")
+    assert df.select(fp.fingerprint(fp.signatures(F.col("text"))).alias("f")).distinct().count() == 1
+
+
+def test_picked_words_are_the_same_in_python_and_spark(spark):
+    words = [f"wörd{i}" for i in range(300)] + ["море", "海", "the", "que"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    picked = {r["w"] for r in df.filter((F.crc32(F.col("w").cast("binary")) % fp.PICKED == 0) | F.col("w").isin([*fp.ANCHORS])).collect()}
+    assert picked == {w for w in words if w in fp.ANCHORS}
