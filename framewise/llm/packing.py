@@ -20,13 +20,17 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import WordCache, chunks, schema_of, stored
 
 CAPACITY = 2048
+#: Documents that are packed together where their order counts.
+STRETCH = 4096
 
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: ASCII marks but the apostrophe, which can begin a contraction.
@@ -101,16 +105,19 @@ def tokenizer(name: str) -> WordTokenizer:
 
 
 def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = CAPACITY,
-                 end_id: int = 0, with_ids: bool = False) -> DataFrame:
+                 end_id: int = 0, with_ids: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per piece of a document: its ids, then ``end_id``, cut every
     ``capacity`` ids.  A null text counts as empty, so it gives one piece that
-    holds ``end_id`` alone.  ``with_ids`` adds the ids themselves."""
-    rows = docs.select("doc_id", "text")
+    holds ``end_id`` alone.  ``with_ids`` adds the ids themselves, ``keep``
+    names columns of ``docs`` that the pieces keep."""
+    rows = docs.select("doc_id", "text", *keep)
     fields = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("piece", T.IntegerType()),
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("ids_crc32", T.LongType())])
     if with_ids:
         fields.add("ids", T.BinaryType())
+    for name in keep:
+        fields.add(rows.schema[name])
     end = np.asarray([end_id], "<u4").tobytes()
 
     def step(batches):
@@ -130,7 +137,8 @@ def token_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacit
                         held.append(part)
             cols = [b.column(0).take(pa.array(at, pa.int32())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols + ([pa.array(held, pa.binary())] if with_ids else []), names=fields.names)
+            kept = [b.column(2 + k).take(pa.array(at, pa.int32())) for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays(cols + ([pa.array(held, pa.binary())] if with_ids else []) + kept, names=fields.names)
 
     return rows.mapInArrow(step, fields)
 
@@ -312,3 +320,52 @@ def assemble(pieces: DataFrame) -> DataFrame:
 def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = CAPACITY) -> DataFrame:
     """All documents as packed pieces: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     return pack_pieces(stored(token_pieces(docs, vocabulary, capacity), "pieces"), capacity)
+
+
+def as_written(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the place of each row: ``__file`` and ``__row``.  Rows of
+    stored tables have the order of their part files, whatever order Spark scans
+    them in; other rows have the order of their partitions."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        return docs.select("doc_id", "text", meta["file_path"].alias("__file"), meta["row_index"].alias("__row"))
+    except AnalysisException:  # not a stored table
+        place = F.monotonically_increasing_id()
+        file = F.lpad(F.shiftright(place, 33).cast("string"), 10, "0")
+        return docs.select("doc_id", "text", file.alias("__file"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("__row"))
+
+
+def pack_in_order(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = CAPACITY, stretch: int | None = None) -> DataFrame:
+    """Like :func:`pack_documents`, but rising ``sequence_id`` follows the order of
+    ``docs``: each ``stretch`` of documents is packed by itself, and its sequences
+    are numbered by the mean place of their documents.
+
+    Nothing is exchanged between stretches, so each can have one sequence more than
+    its share of the corpus bound (and what best-fit and filling bin by bin miss).
+    """
+    stretch = stretch or STRETCH
+    pieces = stored(token_pieces(as_written(docs), vocabulary, capacity, keep=("__file", "__row")), "pieces")
+    files = pieces.groupBy("__file").agg((F.max("__row") + 1).alias("__n"))  # one row per file
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(F.col("__file").alias("__f"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    placed = pieces.join(F.broadcast(files), F.col("__file") == F.col("__f")).withColumn("__place", F.col("__before") + F.col("__row"))
+    placed = placed.drop("__file", "__row", "__f", "__before").withColumn("__part", F.expr(f"__place div {stretch}"))
+    schema = T.StructType([f for f in placed.schema.fields if f.name not in ("__place", "__part")]
+                          + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+
+    def pack(key, rows):
+        rows = rows.sort_values(["length", "__place", "piece"], ascending=[False, True, True], kind="stable")
+        size, place = rows["length"].to_numpy(), rows["__place"].to_numpy()
+        bins, places, free = best_fit(size, capacity)
+        if len(free) > lower_bound(np.bincount(size, minlength=capacity + 1), capacity):
+            other = fill_up(size, capacity)
+            if len(other[2]) < len(free):
+                bins, places, free = other
+        mean = np.bincount(bins, place - key[0] * stretch) / np.bincount(bins)
+        number = np.empty(len(free), np.int64)
+        number[np.argsort(mean, kind="stable")] = np.arange(len(free))
+        rows["sequence_id"] = number[bins] + (key[0] << 24)
+        rows["offset"] = places
+        return rows[schema.names]
+
+    return placed.groupBy("__part").applyInPandas(pack, schema)

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from framewise.llm import packing
 from framewise.llm.common import read_documents
@@ -118,3 +119,22 @@ def test_assembled_sequences_hold_the_ids(spark):
     for r in packed.collect():
         part = seqs[r["sequence_id"]][4 * r["offset"]:4 * (r["offset"] + r["length"])]
         assert zlib.crc32(part) == r["ids_crc32"]
+
+
+def test_stored_rows_keep_the_order_of_their_files(spark, tmp_path):
+    df = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 300, F.repeat(F.lit("x"), 5)).otherwise(F.repeat(F.col("id").cast("string"), 400)).alias("text"))
+    df.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "t"))
+    out = packing.as_written(spark.read.parquet(str(tmp_path / "t"))).toPandas()
+    assert out["__file"].nunique() == 5
+    assert out.sort_values(["__file", "__row"]).doc_id.tolist() == list(range(900))
+    assert packing.as_written(df.repartition(3)).toPandas().groupby("__file")["__row"].nunique().sum() == 900
+
+
+def test_packing_in_order_is_whole_and_near_the_bound(spark):
+    docs = read_documents(spark, SF)
+    out = packing.pack_in_order(docs, stretch=50).toPandas()
+    want = packing.pack_documents(docs).toPandas()
+    cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(tuple, out[cols].to_numpy().tolist())) == sorted(map(tuple, want[cols].to_numpy().tolist()))
+    bound = packing.lower_bound(np.bincount(out.length, minlength=2049), 2048)
+    assert check(out, 2048) <= bound + 2 * -(-docs.count() // 50)
