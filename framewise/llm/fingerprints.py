@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import let
+from .common import let, stored
 
 #: One word in so many begins a chain for its hash alone.
 PICKED = 2
@@ -82,7 +82,7 @@ def fingerprint(sigs: Column) -> Column:
 def length_partition(sigs: Column, at_least: float = 0.8) -> Column:
     """Number of the length range a set falls in; sets whose likeness reaches
     ``at_least`` are in the same range or in neighbouring ones."""
-    return F.floor(F.log(F.greatest(F.size(sigs), F.lit(1)).cast("double")) / -math.log(at_least)).cast("int")
+    return F.floor(F.log(F.greatest(F.size(sigs), F.lit(1)).cast("double")) / -math.log(at_least) + 1e-9).cast("int")
 
 
 def likeness(a: Column, b: Column, at_least: float = 0.0) -> Column:
@@ -161,3 +161,40 @@ def op9_spotsigs(docs: DataFrame) -> DataFrame:
                       likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
                       likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
                       length_partition(F.col("signatures")).alias("length_partition"))
+
+
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.8) -> DataFrame:
+    """SpotSigs match: ``a`` < ``b`` and ``likeness`` for all pairs of rows whose
+    likeness reaches ``at_least`` (over 0, under 1), near or far by id.
+
+    Rows with equal sets are one class, and classes meet through their rarest
+    signatures: two sets of that likeness share one of the first
+    n - ceil(at_least * n) + 1 of each, in order of rising document frequency.  A
+    signature is joined within equal and neighbouring length partitions only, and a
+    pair whose lengths rule the level out is not intersected.  Rows with null ids,
+    and rows without signatures, are in no pair.  The result has a row for every
+    pair, so a group of m copies gives m * (m - 1) / 2 of them.
+    """
+    slack = 1e-9  # level times size is a float
+    sets = docs.select(F.col(id_col).alias("id"), signatures(F.col(text_col)).alias("sigs")).filter(F.col("id").isNotNull() & (F.size("sigs") > 0))
+    sets = stored(sets.withColumn("cls", F.sha2(F.array_join("sigs", ",").cast("binary"), 256)), "spots")
+    classes = stored(sets.groupBy("cls").agg(F.first("sigs").alias("sigs")), "spot-classes")
+    each = classes.select("cls", F.size("sigs").alias("n"), length_partition(F.col("sigs"), at_least).alias("part"), F.explode("sigs").alias("sig"))
+    often = each.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
+    rarest = Window.partitionBy("cls").orderBy("df", "sig")
+    prefix = each.join(often, "sig").withColumn("__rn", F.row_number().over(rarest))
+    prefix = stored(prefix.filter(F.col("__rn") <= F.col("n") - F.ceil(F.col("n") * at_least - slack) + 1).select("cls", "n", "part", "sig"), "spot-prefixes")
+    # a class goes to its own partition and, as a guest, to the one above
+    guests = prefix.withColumn("at", F.explode(F.array("part", F.col("part") + 1)))
+    x, y = guests.alias("x"), prefix.alias("y")
+    apart = (F.col("x.part") < F.col("y.part")) | (F.col("x.cls") < F.col("y.cls"))
+    long_enough = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * at_least - slack
+    met = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.at") == F.col("y.part")) & apart & long_enough)
+    met = met.select(F.col("x.cls").alias("c"), F.col("y.cls").alias("d")).distinct()
+    met = met.join(classes.select(F.col("cls").alias("c"), F.col("sigs").alias("s")), "c").join(classes.select(F.col("cls").alias("d"), F.col("sigs").alias("t")), "d")
+    alike = met.select("c", "d", likeness(F.col("s"), F.col("t"), at_least - slack).alias("likeness")).filter(F.col("likeness") >= at_least - slack)
+    ids = sets.select("id", "cls")
+    left, right = ids.select(F.col("id").alias("i"), F.col("cls").alias("c")), ids.select(F.col("id").alias("j"), F.col("cls").alias("d"))
+    across = alike.join(left, "c").join(right, "d").select("i", "j", "likeness")
+    within = left.join(right, (F.col("c") == F.col("d")) & (F.col("i") < F.col("j"))).select("i", "j", F.lit(1.0).alias("likeness"))
+    return across.union(within).select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "likeness")

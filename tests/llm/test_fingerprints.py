@@ -98,3 +98,17 @@ def test_picked_words_are_the_same_in_python_and_spark(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     picked = {r["w"] for r in df.filter((F.crc32(F.col("w").cast("binary")) % fp.PICKED == 0) | F.col("w").isin([*fp.ANCHORS])).collect()}
     assert picked == {w for w in words if w in fp.ANCHORS}
+
+
+def test_near_pairs_equal_all_pairs(spark):
+    """Pairs far apart by id are found, in equal and in neighbouring length partitions."""
+    base = [r["text"] for r in read_documents(spark, SF).filter(F.length("text").between(300, 1500)).limit(60).collect()]
+    texts = base + [t + " some more words behind the end" for t in base] + [t[: len(t) * 9 // 10] for t in base] + base[:5] + ["", None, "short", "short"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {r[0]: set(r[1]) for r in df.select("doc_id", fp.signatures(F.col("text"))).collect() if r[1]}
+    parts = {r[0]: r[1] for r in df.select("doc_id", fp.length_partition(fp.signatures(F.col("text")), 0.7)).collect()}
+    want = {(i, j): jaccard(a, b) for i, a in sets.items() for j, b in sets.items() if i < j and jaccard(a, b) >= 0.7}
+    rows = fp.near_pairs(df, at_least=0.7).collect()
+    assert len(rows) == len(want)
+    assert {(r["a"], r["b"]): round(r["likeness"], 9) for r in rows} == {k: round(v, 9) for k, v in want.items()}
+    assert any(parts[i] != parts[j] for i, j in want) and any(j - i > 60 for i, j in want)
