@@ -45,3 +45,61 @@ select d.doc_id, cast(coalesce(size.n, 0) as bigint) as n_shingles, c.component_
 from d left join size on size.r = d.r
      join (select reach.r, min(o.doc_id) as component_id from reach join d o on o.r = reach.way group by reach.r) c on c.r = d.r
 """
+
+
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Product codes with every distance evaluated, one step a round."""
+    steps = [f"""
+kept as materialized (
+  select row_number() over (order by vec_id) as r, vec_id, label, embedding from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+x as materialized (
+  select r, (k * {parts}) // n as p, k, cast(floor(4096 * cast(embedding[k + 1] as double)) as bigint) as v
+  from (select r, embedding, len(embedding) as n, unnest(range(0, len(embedding))) as k from kept) u),
+b0 as materialized (select p, r - 1 as e, k, v from x where r <= {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} as (select x.r, x.p, b.e, cast(sum((x.v - b.v) * (x.v - b.v)) as bigint) as d from x join b{i} b on b.k = x.k group by x.r, x.p, b.e),
+a{i} as materialized (select r, p, min(d * {entries} + e) % {entries} as e, min(d) as d from d{i} group by r, p)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} as (select x.p, a.e, x.k, cast(sum(x.v) as bigint) as s, count(*) as n from x join a{i} a on a.r = x.r and a.p = x.p group by x.p, a.e, x.k),
+b{i + 1} as materialized (
+  select b.p, b.e, b.k, coalesce((s - ((s % n) + n) % n) // n, b.v) as v
+  from b{i} b left join m{i} m on m.e = b.e and m.k = b.k)""")
+    last = f"a{rounds}"
+    return f"""with {",".join(steps)},
+coded as (select r, string_agg(format('{{:02x}}', e), '' order by p) as code, cast(sum(d) as bigint) as error from {last} group by r)
+select kept.vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(cast(v as varchar), ',' order by p, e, k)) from b{rounds}) as codebooks_sha256
+from coded join kept on kept.r = coded.r
+"""
+
+
+OP11 = _vector_codes_sql()
+
+OP13 = rf"""
+with d as (
+  select doc_id, row_number() over () as r,
+         regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts
+  from documents),
+size as materialized (select r, doc_id, len(ts) as n from d where len(ts) > 0),
+total as (select count(*) as docs, cast(sum(n) as bigint) as terms from size),
+q as materialized (
+  select i, item_id, t, count(*) as times
+  from (select i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t
+        from (select item_id, text, row_number() over () as i from benchmark) b) u
+  group by i, item_id, t),
+tf as materialized (
+  select r, t, count(*) as tf from (select r, unnest(ts) as t from d) u where t in (select t from q) group by r, t),
+w as (select t, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w
+      from (select t, count(*) as df from tf group by t) f, total),
+part as (
+  select tf.r, tf.t, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * size.n * docs) // terms))) as part
+  from tf join size on size.r = tf.r join w on w.t = tf.t, total),
+scored as (select q.i, q.item_id, part.r, cast(sum(q.times * part.part) as bigint) as score from q join part on part.t = q.t group by q.i, q.item_id, part.r),
+ranked as (
+  select item_id, row_number() over (partition by i order by score desc, doc_id, s.r) as rank, doc_id, score
+  from scored s join size on size.r = s.r where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 10
+"""
