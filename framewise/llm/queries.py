@@ -10,6 +10,7 @@ from ..session import ship_package
 from .common import read_documents
 from .fingerprints import op9_spotsigs
 from .language_id import op10_language_id
+from .lm_scoring import op12_lm_scoring
 from .mixing import op6_mix
 from .near_duplicates import op5_jaccard
 from .oracles import OP4, OP5, OP11, OP13
@@ -44,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_spotsigs": _over_documents(op9_spotsigs),
     "op10_language_id": _over_documents(op10_language_id),
     "op11_vector_codes": lambda spark, sf_dir: op11_vector_codes(_table(spark, sf_dir, "embeddings")),
+    "op12_lm_scoring": _over_documents(op12_lm_scoring),
     "op13_ranked_search": lambda spark, sf_dir: op13_ranked_search(read_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")),
 }
 
