@@ -22,12 +22,12 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` to a fresh table below ``spark.checkpoint.dir`` and read it
-    back: cuts the lineage and survives lost executors."""
+    back: cuts the lineage and survives lost executors.  ``options`` go to the writer."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
