@@ -135,6 +135,13 @@ def gate_reach(s, axis: str, threshold: float) -> Column:
     return F.sqrt(F.lit(threshold) * (s[f"pp_{axis}"] + r * r))
 
 
+def gate_box(s, threshold: float) -> tuple[Column, Column, Column, Column]:
+    """Corners of the box around the projected centre that holds every centre inside the gate."""
+    s = col(s)
+    rx, ry = gate_reach(s, "x", threshold), gate_reach(s, "y", threshold)
+    return s["x"] - rx, s["y"] - ry, s["x"] + rx, s["y"] + ry
+
+
 def state_tlwh(s) -> dict[str, Column]:
     """Box of the state mean in tlwh coding."""
     s = col(s)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import ANCHOR_MASK, COCO_CLASSES, DEFAULT_ANCHORS, LEVEL_STRIDES
 from ..functions.common import col, sigmoid
-from .geometry import overlapping_pairs
+from .cells import cell_pairs
 from .nms import greedy_fold
 
 
@@ -188,22 +188,26 @@ def best_truth_iou(preds: DataFrame, truths: DataFrame, keys=("image_id",), igno
                    pred_id: str = "vec_id", cell: float = 0.125) -> DataFrame:
     """Best IoU of each prediction with any true box of the same image (both
     centre-xywh, relative units) and ``ignore = best < threshold``.  Only
-    overlapping pairs are formed (grid join); a prediction with none has
-    best IoU 0."""
+    overlapping pairs are formed (cells); a prediction with none has best IoU 0.
+    Predictions travel through the pass, so they are read once; ``pred_id`` must be unique
+    within the keys, and rows with a null key are left out."""
     keys = list(keys)
-    p = preds.select(*keys, pred_id, (F.col("bx") - F.col("bw") / 2).alias("_px"),
-                     (F.col("by") - F.col("bh") / 2).alias("_py"), F.col("bw").alias("_pw"),
-                     F.col("bh").alias("_ph"))
-    t = truths.select(*keys, (F.col("tx") - F.col("tw") / 2).alias("_tx"),
-                      (F.col("ty") - F.col("th") / 2).alias("_ty"), F.col("tw").alias("_tw"),
-                      F.col("th").alias("_th"))
-    pairs = overlapping_pairs(p, t, keys, ("_px", "_py", "_pw", "_ph"), ("_tx", "_ty", "_tw", "_th"), cell)
-    iw = F.least(F.col("_px") + F.col("_pw"), F.col("_tx") + F.col("_tw")) - F.greatest("_px", "_tx")
-    ih = F.least(F.col("_py") + F.col("_ph"), F.col("_ty") + F.col("_th")) - F.greatest("_py", "_ty")
+    p = preds.select(*keys, F.col(pred_id).alias("_id"), F.struct(*[F.col(f"`{c}`") for c in preds.columns]).alias("_pred"),
+                     (F.col("bx") - F.col("bw") / 2).alias("_px"), (F.col("by") - F.col("bh") / 2).alias("_py"),
+                     (F.col("bx") + F.col("bw") / 2).alias("_px2"), (F.col("by") + F.col("bh") / 2).alias("_py2"))
+    t = truths.where((F.col("tw") > 0) & (F.col("th") > 0)).select(
+        *keys, (F.col("tx") - F.col("tw") / 2).alias("_tx"), (F.col("ty") - F.col("th") / 2).alias("_ty"),
+        (F.col("tx") + F.col("tw") / 2).alias("_tx2"), (F.col("ty") + F.col("th") / 2).alias("_ty2"))
+    pairs = cell_pairs(p, t, keys, tuple(map(F.col, ("_px", "_py", "_px2", "_py2"))),
+                       tuple(map(F.col, ("_tx", "_ty", "_tx2", "_ty2"))), cell, keep_left=True)
+    iw = F.least("_px2", "_tx2") - F.greatest("_px", "_tx")
+    ih = F.least("_py2", "_ty2") - F.greatest("_py", "_ty")
     inter = iw * ih
-    iou = inter / (F.col("_pw") * F.col("_ph") + F.col("_tw") * F.col("_th") - inter)
-    best = pairs.groupBy(*keys, pred_id).agg(F.max(iou).alias("best_iou"))
-    out = preds.join(best, keys + [pred_id], "left").withColumn("best_iou", F.coalesce("best_iou", F.lit(0.0)))
+    iou = inter / ((F.col("_px2") - F.col("_px")) * (F.col("_py2") - F.col("_py"))
+                   + (F.col("_tx2") - F.col("_tx")) * (F.col("_ty2") - F.col("_ty")) - inter)
+    best = pairs.groupBy(*keys, "_id").agg(
+        F.max(F.when((iw > 0) & (ih > 0), iou)).alias("best_iou"), F.first(F.when(F.col("_tx").isNull(), F.col("_pred")), True).alias("_pred"))
+    out = best.select("_pred.*", F.coalesce("best_iou", F.lit(0.0)).alias("best_iou"))
     return out.withColumn("ignore", F.col("best_iou") < ignore)
 
 

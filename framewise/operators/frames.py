@@ -105,23 +105,40 @@ def processing_latency(frames: DataFrame, results: DataFrame, key: str = "camera
                  F.percentile_approx("latency_s", 0.95, 10_000).alias("p95_latency_s")))
 
 
+MALFORMED, STALE, FRESH = "malformed", "stale", "fresh"
+
+
+def classify_messages(messages: DataFrame, now, value_col: str = "value", max_age_s: int | None = 5) -> DataFrame:
+    """Messages parsed once, with ``status`` (malformed, stale or fresh) and ``claimed``: the
+    camera of a good message, or the one named in a broken one where it can be read.
+    ``now`` is the batch's clock; ``max_age_s=None`` takes every age as fresh."""
+    from ..sources.messages import parse_with_reason
+
+    p = parse_with_reason(messages, value_col)
+    fresh = F.lit(True) if max_age_s is None else frame_age_seconds("frame_ts", now).between(0, max_age_s)
+    status = F.when(F.col("reason").isNotNull(), MALFORMED).when(fresh, FRESH).otherwise(STALE)
+    claimed = F.when(F.col("reason").isNull(), F.col("camera_id")).otherwise(F.get_json_object(value_col, "$.camera_id"))
+    return p.withColumn("status", status).withColumn("claimed", claimed)
+
+
+def intake_metrics() -> list[Column]:
+    """Counters over classified messages, for ``observe()`` in the pass that parses."""
+    return [F.count(F.lit(1)).alias("received"), *[F.count_if(F.col("status") == s).alias(s) for s in (MALFORMED, STALE, FRESH)]]
+
+
+def count_classified(classified: DataFrame, keys) -> DataFrame:
+    """Per group: messages received, malformed, stale, superseded by a newer fresh frame, and
+    processed (at most one).  Decomposable sums, aggregated on the map side first."""
+    a = classified.groupBy(*keys).agg(*intake_metrics())
+    return (a.withColumn("processed", F.least(F.col(FRESH), F.lit(1)).cast("bigint"))
+             .withColumn("superseded", F.greatest(F.col(FRESH) - 1, F.lit(0)).cast("bigint")).drop(FRESH))
+
+
 def batch_intake_counts(messages: DataFrame, now, batch_col: str = "batch_id",
-                        value_col: str = "value", max_age_s: int = 5) -> DataFrame:
+                        value_col: str = "value", max_age_s: int | None = 5) -> DataFrame:
     """Per (batch, camera): messages received, malformed, stale, superseded
     by a newer fresh frame of the same camera, and processed (at most one).
     Rejects are attributed to the camera named in the message when it can
-    be read.  All counts are decomposable sums (map-side partial aggregation)."""
-    from ..sources.messages import parse_frame_messages
-
-    good, rejects = parse_frame_messages(messages, value_col)
-    fresh = frame_age_seconds("frame_ts", now).between(0, max_age_s)
-    g = good.select(batch_col, "camera_id", F.lit(0).alias("_bad"), fresh.cast("int").alias("_fresh"))
-    r = rejects.select(batch_col, F.get_json_object(value_col, "$.camera_id").alias("camera_id"),
-                       F.lit(1).alias("_bad"), F.lit(0).alias("_fresh"))
-    a = g.unionByName(r).groupBy(batch_col, "camera_id").agg(
-        F.count(F.lit(1)).alias("received"), F.sum("_bad").cast("bigint").alias("malformed"),
-        F.sum(F.when((F.col("_bad") == 0) & (F.col("_fresh") == 0), 1).otherwise(0)).cast("bigint").alias("stale"),
-        F.sum("_fresh").cast("bigint").alias("_n_fresh"))
-    return (a.withColumn("processed", F.least(F.col("_n_fresh"), F.lit(1)).cast("bigint"))
-             .withColumn("superseded", F.greatest(F.col("_n_fresh") - 1, F.lit(0)).cast("bigint"))
-             .drop("_n_fresh"))
+    be read.  Every message is parsed once."""
+    c = classify_messages(messages, now, value_col, max_age_s).withColumn("camera_id", F.col("claimed"))
+    return count_classified(c, [batch_col, "camera_id"])

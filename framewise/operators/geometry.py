@@ -1,12 +1,8 @@
 """Box geometry operators: codings, overlap pairs, IoU cost.
 
 Pairs are only ever formed inside a frame and only for boxes that can
-overlap: both sides are bucketed on a coarse pixel grid and joined on
-``(keys, cell)``; each overlapping pair is kept in exactly one cell (the one
-holding the top-left corner of the intersection).  Pairs that do not overlap
-have IoU 0 and cost 1, above any usable threshold, so they are implied rather
-than materialised.  Work per frame is therefore proportional to the number of
-overlaps, not to tracks x detections.
+overlap (:mod:`.cells`).  Pairs that do not overlap have IoU 0 and cost 1, above
+any usable threshold, so they are implied rather than materialised.
 """
 
 from __future__ import annotations
@@ -17,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import INFTY_COST
 from ..functions import boxes as B
 from ..functions.common import col
+from .cells import cell_pairs
 
 DEFAULT_CELL = 128.0
 
@@ -49,48 +46,16 @@ def convert_boxes(df: DataFrame, from_: str, to: str, cols=None, prefix: str = "
     return df.select("*", *[v.alias(prefix + k) for k, v in out.items()])
 
 
-def _level(w, h, cell: float):
-    """Doublings of ``cell`` until it is no smaller than the box."""
-    side = F.greatest(col(w), col(h)) / cell
-    return F.when(side > 1, F.ceil(F.log2(side))).otherwise(0).cast("int")
-
-
-def _with_cells(df: DataFrame, x, y, w, h, cell: float, levels) -> DataFrame:
-    """Explode each box into the cells it touches, at its own level and at every
-    coarser one in ``levels``.  A cell is as large as the box or larger, so a
-    box touches at most four a level, however large it is; none for w/h <= 0."""
-    x, y, w, h = map(col, (x, y, w, h))
-    own = df.where((w > 0) & (h > 0)).withColumn("_own", _level(w, h, cell))
-    out = own.withColumn("_lv", F.explode(levels)).where(F.col("_lv") >= F.col("_own"))
-    side = F.lit(cell) * F.pow(F.lit(2.0), F.col("_lv"))
-    return (out.withColumn("_gx", F.explode(F.sequence(F.floor(x / side), F.floor((x + w) / side))))
-               .withColumn("_gy", F.explode(F.sequence(F.floor(y / side), F.floor((y + h) / side)))))
-
-
 def overlapping_pairs(left: DataFrame, right: DataFrame, keys, lbox, rbox,
                       cell: float = DEFAULT_CELL) -> DataFrame:
     """All (left, right) pairs with the same keys whose tlwh boxes intersect
-    with positive area.  Column names other than ``keys`` must be disjoint.
-
-    Each pair meets at the level of its larger box, in the one cell that holds
-    the top-left corner of the intersection.  ``levels`` are the sizes that
-    occur, a handful in all."""
-    keys = list(keys)
-    lx, ly, lw, lh = lbox
-    rx, ry, rw, rh = rbox
-    sizes = left.select(_level(lw, lh, cell).alias("v")).union(right.select(_level(rw, rh, cell)))
-    levels = sizes.agg(F.collect_set("v")).scalar()
-    L = _with_cells(left, lx, ly, lw, lh, cell, levels).withColumnRenamed("_own", "_lown")
-    R = _with_cells(right, rx, ry, rw, rh, cell, levels).withColumnRenamed("_own", "_rown")
-    j = L.join(R, keys + ["_lv", "_gx", "_gy"])
-    ix1, iy1 = F.greatest(col(lx), col(rx)), F.greatest(col(ly), col(ry))
-    side = F.lit(cell) * F.pow(F.lit(2.0), F.col("_lv"))
-    cond = ((F.col("_lv") == F.greatest("_lown", "_rown"))
-            & (ix1 < F.least(col(lx) + col(lw), col(rx) + col(rw)))
-            & (iy1 < F.least(col(ly) + col(lh), col(ry) + col(rh)))
-            & (F.floor(ix1 / side) == F.col("_gx"))
-            & (F.floor(iy1 / side) == F.col("_gy")))
-    return j.where(cond).drop("_lv", "_gx", "_gy", "_lown", "_rown")
+    with positive area; none for w/h <= 0.  Column names other than ``keys``
+    must be disjoint."""
+    lx, ly, lw, lh = map(col, lbox)
+    rx, ry, rw, rh = map(col, rbox)
+    pairs = cell_pairs(left.where((lw > 0) & (lh > 0)), right.where((rw > 0) & (rh > 0)), keys,
+                       (lx, ly, lx + lw, ly + lh), (rx, ry, rx + rw, ry + rh), cell)
+    return pairs.where((F.greatest(lx, rx) < F.least(lx + lw, rx + rw)) & (F.greatest(ly, ry) < F.least(ly + lh, ry + rh)))
 
 
 def pairwise_iou(left: DataFrame, right: DataFrame, keys=("camera_id", "frame_no"),

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import INFTY_COST
 from ..functions import motion as KF
 from ..functions.common import col
-from .tracker_core import kf_initiate, kf_predict, kf_update
-from .sorted_groups import map_sorted_groups
+from ..session import scratch_path
+from .cells import cell_pairs
 
 STATE = "kf"
 
@@ -52,24 +49,11 @@ def mahalanobis_pairs(tracks: DataFrame, dets: DataFrame, keys=("camera_id", "fr
     """Squared Mahalanobis distance for every (track, detection) pair of a
     frame that lies inside the gate (``d2 <= max_d2``, default chi-square
     0.95 for 4 or 2 dof).  Each term of the sum is bounded by the total, so
-    candidates are found with a grid join on the gate's bounding box around
-    the projected centre; pairs outside it are implied gated."""
-    keys = list(keys)
+    candidates are detections whose centre lies in the gate's bounding box
+    around the projected centre, met through cells; pairs outside it are implied gated."""
     thr = max_d2 if max_d2 is not None else KF.gating_threshold(only_position)
-    s = F.col(state)
-    rx, ry = KF.gate_reach(s, "x", thr), KF.gate_reach(s, "y", thr)
-    # cells as large as the track's gate box or larger: at most four a track
-    side = F.greatest(rx, ry) * 2 / cell
-    t = tracks.withColumn("_lv", F.when(side > 1, F.ceil(F.log2(side))).otherwise(0).cast("int"))
-    levels = t.agg(F.collect_set("_lv")).scalar()
-    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("_lv"))
-    t = (t.withColumn("_gx", F.explode(F.sequence(F.floor((s["x"] - rx) / size), F.floor((s["x"] + rx) / size))))
-          .withColumn("_gy", F.explode(F.sequence(F.floor((s["y"] - ry) / size), F.floor((s["y"] + ry) / size)))))
-    d = dets.withColumn("_lv", F.explode(levels))
-    d = d.withColumn("_gx", F.floor(col(z[0]) / size)).withColumn("_gy", F.floor(col(z[1]) / size))
-    j = t.join(d, keys + ["_lv", "_gx", "_gy"]).drop("_lv", "_gx", "_gy")
-    j = j.withColumn("d2", KF.gating_distance(state, *z, only_position=only_position))
-    return j.where(F.col("d2") <= thr)
+    pairs = cell_pairs(tracks, dets, keys, KF.gate_box(state, thr), (col(z[0]), col(z[1])) * 2, cell)
+    return pairs.withColumn("d2", KF.gating_distance(state, *z, only_position=only_position)).where(F.col("d2") <= thr)
 
 
 def gate_pairs(pairs: DataFrame, gate: DataFrame, on, cost: str = "cost") -> DataFrame:
@@ -83,71 +67,76 @@ def gate_pairs(pairs: DataFrame, gate: DataFrame, on, cost: str = "cost") -> Dat
 
 # --- sequential filtering of observation series ---------------------------------
 
-_FIELDS = KF.STATE_FIELDS
-
-
-def _filter_series(pdf: pd.DataFrame, key: str, frame: str, z_cols, state: dict) -> pd.DataFrame:
-    """Initiate at the first observation, then predict once per frame and
-    correct at each observation.  Rows arrive ordered by (key, frame) in
-    batches; ``state`` carries the current series across batch boundaries, so
-    no series is ever held whole.  All series of a batch advance together, one
-    array step per frame."""
-    keys, frames = pdf[key].to_numpy(), pdf[frame].to_numpy(dtype=np.int64)
-    z = pdf[list(z_cols)].to_numpy(dtype=float)
-    begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    end = np.r_[begin[1:], len(keys)] - 1
-    goes_on = "st" in state and state["key"] == keys[0]
-    first = frames[begin].copy()              # first frame this batch answers for
-    if goes_on:
-        first[0] = state["frame"] + 1
-    length = frames[end] - first + 1
-    at = np.r_[0, np.cumsum(length)]          # a series' rows in the output
-    series = np.repeat(np.arange(len(begin)), end - begin + 1)
-    place = at[series] + frames - first[series]
-    observed = np.zeros(at[-1], dtype=bool)
-    observed[place] = True
-    seen = np.zeros((at[-1], 4))
-    seen[place] = z
-    out = np.empty((at[-1], 4, 5))
-    order = np.argsort(-length, kind="stable")
-    now = np.zeros((len(begin), 4, 5))
-    if goes_on:
-        now[0] = state["st"]
-    for t in range(int(length.max())):
-        live = order[:np.searchsorted(-length[order], -t, side="left")]
-        new = live[:0]
-        if t == 0:
-            new, live = (live[live > 0], live[live == 0]) if goes_on else (live, live[:0])
-            now[new] = kf_initiate(seen[at[new]])
-        now[live] = kf_predict(now[live])
-        hit = live[observed[at[live] + t]]
-        now[hit] = kf_update(now[hit], seen[at[hit] + t])
-        both = np.r_[new, live]
-        out[at[both] + t] = now[both]
-    state.update(st=now[-1].copy(), key=keys[-1], frame=int(frames[-1]))
-    res = pd.DataFrame({key: np.repeat(keys[begin], length), frame: np.arange(at[-1]) - np.repeat(at[:-1] - first, length),
-                        "observed": observed})
-    for ai, a in enumerate(KF.AXES):
-        for fi, name in enumerate((a, f"v_{a}", f"pp_{a}", f"pv_{a}", f"vv_{a}")):
-            res[name] = out[:, ai, fi]
-    return res
+def _let(value, body):
+    """Bind an expression to a lambda variable, so that it is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _filter_piece(seen: str, start: str, low, high):
+    """Fold over the frames ``low`` to ``high`` of one piece: struct(state, out), where ``out``
+    has a row a frame.  ``seen`` are the piece's observations in frame order, ``start`` the state before it
+    (null: the first frame, which is observed, initiates one)."""
+    rows = f"array<struct<frame:bigint,observed:boolean,kf:{KF.STATE_DDL}>>"
+    zero = F.struct(F.col(start).alias("state"), F.lit(0).alias("next"), F.array().cast(rows).alias("out"))
+
+    def advance(acc, f, o, ahead):
+        hit = F.coalesce(o["frame"] == f, F.lit(False))
+        z = [o["z"][c] for c in ("cx", "cy", "a", "h")]
+        state = F.when(~hit, ahead).when(ahead.isNull(), KF.initiate(*z)).otherwise(KF.update(ahead, *z))
+        return _let(state, lambda s: F.struct(
+            s.alias("state"), (acc["next"] + hit.cast("int")).alias("next"),
+            F.concat(acc["out"], F.array(F.struct(f.alias("frame"), hit.alias("observed"), s.alias("kf")))).alias("out")))
+
+    def step(acc, f):
+        ahead = F.when(acc["state"].isNotNull(), KF.predict(acc["state"]))
+        return _let(F.get(F.col(seen), acc["next"]), lambda o: _let(ahead, lambda s: advance(acc, f, o, s)))
+
+    return F.aggregate(F.sequence(low, high), zero, step, lambda acc: F.struct(acc["state"].alias("state"), acc["out"].alias("out")))
 
 
 def kalman_filter_tracks(obs: DataFrame, key: str = "track_id", frame: str = "frame_no",
-                         z=("cx", "cy", "a", "h")) -> DataFrame:
+                         z=("cx", "cy", "a", "h"), chunk: int = 2048) -> DataFrame:
     """Filtered state per frame of each observation series (one row per
     frame from the first to the last observation; ``observed`` marks frames
-    with a measurement).  A recurrence, so each series is processed in frame
-    order inside one task; partitions stream through in Arrow batches and
-    only the current state (20 numbers) crosses batch boundaries."""
-    key_type = obs.schema[key].dataType
-    schema = T.StructType([T.StructField(key, key_type), T.StructField(frame, T.LongType()),
-                           T.StructField("observed", T.BooleanType())]
-                          + [T.StructField(f, T.DoubleType()) for f in _FIELDS])
-    src = obs.select(key, F.col(frame).cast("long").alias(frame), *[F.col(c).cast("double") for c in z])
-
-    def make_fn():
-        state: dict = {}
-        return lambda pdf: None if pdf is None else _filter_series(pdf, key, frame, z, state)
-
-    return map_sorted_groups(src, [key], [frame], schema, make_fn)
+    with a measurement; of several in one frame the greatest counts).
+
+    JVM expressions only.  A series is cut into pieces of ``chunk`` frames; a piece is one row,
+    filtered by a fold whose accumulator is the 20-number state, the rows so far and
+    the place in its observations.  Pieces of different series run in parallel; the state at a
+    piece's end is handed on to the series' next piece, one round of joins per piece
+    of the longest series (none when every series fits one piece).  Rows with a null key or frame are left out."""
+    spark = obs.sparkSession
+    fields = F.struct(*[F.col(c).cast("double").alias(n) for c, n in zip(z, ("cx", "cy", "a", "h"))])
+    src = obs.select(key, F.col(frame).cast("long").alias("_f"), fields.alias("z")).where(F.col(key).isNotNull() & F.col("_f").isNotNull())
+    span = src.groupBy(key).agg(F.min("_f").alias("_first"), F.max("_f").alias("_last"))
+    rounds = span.agg(F.max(F.floor((F.col("_last") - F.col("_first")) / chunk))).first()[0]
+    at = F.floor((F.col("_f") - F.col("_first")) / chunk)
+    seen = F.sort_array(F.collect_list(F.struct(F.col("_f").alias("frame"), "z")))
+    pieces = src.join(span, key).withColumn("_piece", at).groupBy(key, "_piece").agg(seen.alias("_all"))
+    following = lambda o, i: F.get(F.col("_all"), i + 1)["frame"]
+    pieces = pieces.withColumn("_seen", F.filter("_all", lambda o, i: following(o, i).isNull() | (following(o, i) != o["frame"]))).drop("_all")
+    spine = span.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_last") - F.col("_first")) / chunk))))
+    pieces = spine.join(pieces, [key, "_piece"], "left")
+    low = F.col("_first") + F.col("_piece") * chunk
+    high = F.least(F.col("_last"), low + chunk - 1)
+
+    def rows(filtered):
+        return filtered.select(key, F.explode("_r.out").alias("_o")).select(
+            key, F.col("_o.frame").alias(frame), F.col("_o.observed").alias("observed"), "_o.kf.*")
+
+    if not rounds:
+        first = pieces.withColumn("_start", F.lit(None).cast(KF.STATE_DDL))
+        return rows(first.withColumn("_r", _filter_piece("_seen", "_start", low, high)))
+    base = scratch_path(spark, "series")
+    pieces.write.partitionBy("_piece").parquet(f"{base}/pieces")
+    pieces = spark.read.schema(pieces.schema).parquet(f"{base}/pieces")
+    out, states = None, None
+    for k in range(rounds + 1):
+        now = pieces.where(F.col("_piece") == k)
+        now = now.withColumn("_start", F.lit(None).cast(KF.STATE_DDL)) if states is None else now.join(states, key)
+        done = now.withColumn("_r", _filter_piece("_seen", "_start", low, high)).select(key, "_r")
+        done.write.parquet(f"{base}/round={k}")
+        done = spark.read.schema(done.schema).parquet(f"{base}/round={k}")
+        states = done.select(key, F.col("_r.state").alias("_start"))
+        out = rows(done) if out is None else out.unionByName(rows(done))
+    return out

@@ -2,12 +2,15 @@
 gallery maintenance, detection assembly.
 
 Pairs are formed only within a blocking key (camera, or camera and frame);
-each side is normalised once before the join, never per pair.
+each side is normalised once before the join, never per pair.  The left side of a
+key is dealt to ``slices`` tasks, so a camera that holds a third of all rows is not one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
@@ -19,37 +22,99 @@ def l2_normalize(df: DataFrame, column: str, eps: float | None = None,
     return df.withColumn(out or column, V.l2_normalize(V.as_double_array(column), eps))
 
 
+def sliced_join(a: DataFrame, b: DataFrame, on, a_part: Column, slices: int) -> DataFrame:
+    """Inner join on ``on`` with each key's left rows dealt to ``slices`` groups by ``a_part``
+    and the right rows sent to each of them."""
+    if slices <= 1:
+        return a.join(b, list(on))
+    left = a.withColumn("_slice", F.pmod(F.xxhash64(a_part), F.lit(slices)).cast("int"))
+    right = b.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return left.join(right, [*on, "_slice"]).drop("_slice")
+
+
 def cosine_distance_pairs(a: DataFrame, b: DataFrame, on, a_vec: str = "a_feature",
                           b_vec: str = "b_feature", normalized: bool = False,
-                          out: str = "distance") -> DataFrame:
+                          out: str = "distance", slices: int = 8) -> DataFrame:
     """``1 - cos`` for every pair sharing the blocking key ``on``."""
     if not normalized:
         a = l2_normalize(a, a_vec)
         b = l2_normalize(b, b_vec)
-    return a.join(b, list(on)).withColumn(out, V.cosine_distance(a_vec, b_vec, normalized=True))
+    return sliced_join(a, b, on, F.col(a_vec), slices).withColumn(out, V.cosine_distance(a_vec, b_vec, normalized=True))
 
 
 def squared_euclidean_pairs(a: DataFrame, b: DataFrame, on, a_vec: str = "a_feature",
-                            b_vec: str = "b_feature", out: str = "distance") -> DataFrame:
+                            b_vec: str = "b_feature", out: str = "distance", slices: int = 8) -> DataFrame:
     """Squared Euclidean distance (clamped at 0, no root) per pair."""
-    return a.join(b, list(on)).withColumn(
+    return sliced_join(a, b, on, F.col(a_vec), slices).withColumn(
         out, V.squared_euclidean(V.as_double_array(a_vec), V.as_double_array(b_vec)))
 
 
+#: Slack of the triangle inequality for rounding.
+_SLACK = 1e-9
+
+
+def _gaps(vec, pivots) -> Column:
+    """Distances from a vector to each of an array of vectors."""
+    return F.transform(pivots, lambda p: F.sqrt(V.squared_euclidean(vec, p)))
+
+
 def nearest_gallery_distance(queries: DataFrame, gallery: DataFrame, metric: str = "cosine",
                              on=("camera_id",), query_id: str = "query_id",
                              target_id: str = "target_id", q_vec: str = "q_feature",
-                             g_vec: str = "g_feature") -> DataFrame:
+                             g_vec: str = "g_feature", pivots: int = 8, slices: int = 8,
+                             max_distance: float | None = None, with_work: bool = False) -> DataFrame:
     """Per (query, target): smallest distance to any stored sample of the
-    target.  Distances are reduced with a partial (map-side) ``min``."""
-    if metric == "cosine":
-        p = cosine_distance_pairs(queries, gallery, on, q_vec, g_vec)
-    elif metric == "euclidean":
-        p = squared_euclidean_pairs(queries, gallery, on, q_vec, g_vec)
-    else:
+    target, in the blocking key ``on``.
+
+    Exact, with pruning by the triangle inequality (for cosine on unit vectors, whose
+    squared distance is twice the cosine distance).  Each target has up to ``pivots`` of its samples,
+    picked by hash, as pivots; a sample belongs to the tile of the nearest one and
+    knows its distance to all.  A tile keeps the least and greatest of these distances.  A query is
+    compared with a target's pivots; from those distances every tile has a bound
+    from below and one from above.  Tiles whose lower bound exceeds the target's best upper bound are
+    left out, and so are, one by one, samples of the other tiles.  Vectors are
+    compared for what is left.
+
+    With ``max_distance`` pairs beyond it are left out too (implied infeasible), which also
+    prunes whole targets.  ``with_work`` adds ``compared``: vectors that the query was compared with."""
+    if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown distance {metric!r}: use 'cosine' or 'euclidean'")
-    keys = list(on) + [query_id, target_id]
-    return p.groupBy(*keys).agg(F.min("distance").alias("distance"))
+    on = list(on)
+    mine = [*on, target_id]
+    unit = (lambda c: V.l2_normalize(V.as_double_array(c))) if metric == "cosine" else V.as_double_array
+    samples = gallery.select(*mine, unit(g_vec).alias("_g")).where(F.col("_g").isNotNull())
+    # a window group limit: only ``pivots`` rows of a target and map task are shuffled
+    by_hash = Window.partitionBy(*mine).orderBy(F.xxhash64("_g"), "_g")
+    chosen = samples.withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= pivots)
+    chosen = chosen.groupBy(*mine).agg(F.transform(F.sort_array(F.collect_list(F.struct("_n", "_g"))), lambda x: x["_g"]).alias("_pivots"))
+    samples = samples.join(chosen, mine).withColumn("_r", _gaps("_g", F.col("_pivots")))
+    nearest = F.array_min(F.transform("_r", lambda r, i: F.struct(r.alias("r"), i.alias("i"))))
+    samples = samples.select(*mine, "_g", "_r", nearest["i"].alias("_tile"))
+    span = [f(F.get("_r", F.lit(i))) for f in (F.min, F.max) for i in range(pivots)]
+    tiles = samples.groupBy(*mine, "_tile").agg(F.array(*span[:pivots]).alias("low"), F.array(*span[pivots:]).alias("high"))
+    tiles = tiles.groupBy(*mine).agg(F.collect_list(F.struct("_tile", "low", "high")).alias("_tiles"))
+    targets = chosen.join(tiles, mine)
+
+    q = queries.select(*on, query_id, unit(q_vec).alias("_q"))
+    pair = sliced_join(q, targets, on, F.col(query_id), slices).withColumn("_d", _gaps("_q", F.col("_pivots")))
+
+    def least(t):
+        outside = F.zip_with(F.zip_with("_d", t["high"], lambda d, h: d - h), F.zip_with("_d", t["low"], lambda d, m: m - d), lambda a, b: F.greatest(a, b))
+        return F.greatest(F.lit(0.0), F.array_max(outside))
+
+    most = F.array_min(F.transform("_tiles", lambda t: F.array_min(F.zip_with("_d", t["low"], lambda d, m: d + m))))
+    if max_distance is not None:
+        most = F.least(most, F.lit(math.sqrt(2 * max_distance if metric == "cosine" else max_distance)))
+    pair = pair.withColumn("_reach", most + _SLACK)
+    left = pair.select(*mine, query_id, "_q", "_d", "_reach", F.size("_pivots").alias("_np"),
+                       F.explode(F.transform(F.filter("_tiles", lambda t: least(t) <= F.col("_reach")), lambda t: t["_tile"])).alias("_tile"))
+    both = left.join(samples, [*mine, "_tile"])
+    both = both.where(F.array_max(F.zip_with("_d", "_r", lambda d, r: F.abs(d - r))) <= F.col("_reach"))
+    exact = V.cosine_distance("_q", "_g", normalized=True) if metric == "cosine" else V.squared_euclidean("_q", "_g")
+    out = both.groupBy(*mine, query_id).agg(F.min(exact).alias("distance"), (F.count(F.lit(1)) + F.max("_np")).alias("compared"))
+    if max_distance is not None:
+        out = out.where(F.col("distance") <= max_distance)
+    return out if with_work else out.drop("compared")
 
 
 def gallery_update(samples: DataFrame, new: DataFrame, active: DataFrame,

@@ -3,6 +3,7 @@ counters, latency, MOT-style detection files and the offline feature job."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import TrackerConfig
@@ -16,6 +17,7 @@ from ..operators import matching as A
 from ..operators import motion as K
 from ..operators import tracking as TR
 from ..session import scratch_path
+from ..sources import dims as DM
 from ..sources import mot as MOT
 from .fixtures import duck_with, fixture
 from .q_detector import ENCODER_W
@@ -42,16 +44,13 @@ def q_a4(spark, sf):
     prev = prev.select("*", *[v.alias(f"t_{k}") for k, v in box.items()])
     onehot = F.transform(F.sequence(F.lit(0), F.lit(4)),
                          lambda i: F.when(i == F.col("birth_det"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    gallery = prev.where(F.col("state") == 2).select("camera_no", "frame_no", "track_id", onehot.alias("g_feature"))
+    prev = prev.withColumn("samples", F.when(F.col("state") == 2, F.array(onehot)))
     xyah = tlwh_to_xyah("x", "y", "w", "h")
     d = dets.select("camera_no", "frame_no", "det_id", *[v.alias(f"d_{k}") for k, v in xyah.items()],
                     *[F.col(c).alias(f"d_{c}") for c in ("x", "y", "w")], F.col("feature").alias("d_feature"))
     d = d.withColumn("d_y", F.col("d_cy") - F.col("d_h") / 2)
-    m = A.match_two_stage(prev, gallery, d, cfg, keys=("camera_no", "frame_no"),
-                          gallery_keys=("camera_no", "frame_no", "track_id"))
-    return m.join(prev.select("camera_no", "frame_no", "track_id", "birth_frame"),
-                  ["camera_no", "frame_no", "track_id"]).select(
-        "camera_no", "frame_no", "birth_frame", F.col("det_id").alias("obj"))
+    m = A.match_two_stage(prev, d, cfg, keys=("camera_no", "frame_no"), keep=["birth_frame"])
+    return m.select("camera_no", "frame_no", "birth_frame", F.col("det_id").alias("obj"))
 
 
 def _intake(spark, sf):
@@ -183,3 +182,66 @@ def q_v8(spark, sf):
     v = F.col("values")
     return store.select("sequence", "frame_no", *[v[i].alias(c) for i, c in zip((2, 3, 4, 5), "xywh")],
                         *[round6(F.try_element_at(v, F.lit(13 + i))).alias(f"f{i}") for i in range(4)])
+
+
+@query("s6_read_frame_index", """
+select cast(c_nationkey as varchar) as sequence, cast(c_custkey as int) as frame_no, count(*) as n_files from customer
+group by c_nationkey, c_custkey
+""")
+def q_s6(spark, sf):
+    """One small file a customer, in a folder of its nation's sequence and its own frame; listed, not read."""
+    root = scratch_path(spark, "frames")
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    c.select(F.col("c_nationkey").alias("sequence"), F.col("c_custkey").alias("frame_no"), F.col("c_name").alias("value")) \
+        .repartition("sequence").write.partitionBy("sequence", "frame_no").text(root)
+    idx = MOT.read_frame_index(spark, root, **MOT.FRAME_TREE)
+    return idx.groupBy("sequence", "frame_no").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+@query("s7d_dropped_detections", duck_with("fx_dets").rstrip() + _IDX_SQL + """
+select camera_id as sequence, cast(frame_no as int) as frame_no, count(*) as n_dropped from fx_dets d
+where not exists (select 1 from idx i where i.sequence = d.camera_id and i.frame_no = d.frame_no)
+group by camera_id, frame_no
+""")
+def q_s7d(spark, sf):
+    d = fixture(spark, sf, "fx_dets").select(F.col("camera_id").alias("sequence"), F.col("frame_no").cast("int").alias("frame_no"), "det_id")
+    _, dropped = MOT.frame_coverage(d, _frame_index(spark, sf))
+    return dropped.groupBy("sequence", "frame_no").agg(F.count(F.lit(1)).alias("n_dropped"))
+
+
+@query("s8_load_dimensions", """
+select 'class' as kind, cast(row_number() over (order by n_nationkey) - 1 as int) as id, trim(n_name) as name,
+       cast(null as double) as w, cast(null as double) as h from nation
+union all
+select 'anchor', cast(row_number() over (order by s_suppkey) - 1 as int), null, cast(s_suppkey as double), cast(s_nationkey + 1 as double) from supplier
+""")
+def q_s8(spark, sf):
+    """A class file of the nations' names, padded with blanks, one a line, and an anchor file of one line of suppliers' pairs."""
+    root = scratch_path(spark, "dimensions")
+    nation, supplier = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("nation", "supplier"))
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda r: F.concat(F.lit("  "), r["n_name"], F.lit(" ")))
+    nation.agg(F.array_join(lines, "\n").alias("value")).coalesce(1).write.text(f"{root}/classes")
+    pairs = F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", "s_nationkey"))),
+                        lambda r: F.concat(r["s_suppkey"].cast("string"), F.lit(", "), (r["s_nationkey"] + 1).cast("string")))
+    supplier.agg(F.array_join(pairs, ",  ").alias("value")).coalesce(1).write.text(f"{root}/anchors")
+    classes, anchors = DM.load_dimensions(spark, f"{root}/classes", f"{root}/anchors")
+    none = F.lit(None).cast("double")
+    return classes.select(F.lit("class").alias("kind"), F.col("class_id").alias("id"), F.col("class_name").alias("name"), none.alias("w"), none.alias("h")) \
+        .unionByName(anchors.select(F.lit("anchor").alias("kind"), F.col("anchor_id").alias("id"), F.lit(None).cast("string").alias("name"),
+                                    F.col("anchor_w").alias("w"), F.col("anchor_h").alias("h")))
+
+
+@query("s10_write_feature_store", duck_with("fx_dets") + """
+select camera_id as sequence, cast(frame_no as double) as frame, cast(det_id as double) as det, x, y, w * h as area, true as in_order from fx_dets
+""")
+def q_s10(spark, sf):
+    """The store read back, with the order of the rows inside its files checked."""
+    path = scratch_path(spark, "store")
+    d = fixture(spark, sf, "fx_dets").select(F.col("camera_id").alias("sequence"), "frame_no", F.array(F.col("frame_no").cast("double"), F.col("det_id").cast("double"), "x", "y").alias("row"),
+                                             F.array(F.col("w") * F.col("h")).alias("feature"))
+    MOT.write_feature_store(d, path, span=512)
+    rows = spark.read.parquet(path).select("sequence", "frame_no", "values", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    before = F.lag("frame_no").over(Window.partitionBy("_file").orderBy("_at"))
+    v = F.col("values")
+    return rows.select("sequence", v[0].alias("frame"), v[1].alias("det"), v[2].alias("x"), v[3].alias("y"), v[4].alias("area"),
+                       F.coalesce(before <= F.col("frame_no"), F.lit(True)).alias("in_order"))

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -79,6 +79,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/framewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint directory and read back: evaluated once however
+    often it is used, and kept when executors are lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set = set()
 
 

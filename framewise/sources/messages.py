@@ -66,16 +66,13 @@ def frame_message_value(camera_id: Column | None, ts: Column, image: Column) ->
     return F.to_json(F.struct(*fields))
 
 
-def parse_frame_messages(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Typed frames and rejects.
-
-    Good rows get ``camera_id``, ``frame_ts`` (timestamp) and ``image``
-    (bytes).  Rejects keep the message and a ``reason``: bad_json,
-    missing_camera, bad_time, bad_base64 (first rule wins).  Every other input
-    column passes through.  No row is silently dropped.
-    """
+def parse_with_reason(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Every message parsed once: ``camera_id``, ``frame_ts`` (timestamp), ``image``
+    (bytes) and ``reason``, null for a good message, else bad_json,
+    missing_camera, bad_time or bad_base64 (first rule wins).  The message and all
+    other input columns pass through; no row is dropped."""
     v = F.col(value_col)
-    # one parse: malformed text (truncated, not an object) lands in _corrupt
+    # malformed text (truncated, not an object) lands in _corrupt
     parsed = F.from_json(v, FRAME_JSON_SCHEMA + ", _corrupt string",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     ts = F.try_to_timestamp(parsed["timestamp"], F.lit(FRAME_TIME_FORMAT))
@@ -85,8 +82,16 @@ def parse_frame_messages(df: DataFrame, value_col: str = "value") -> tuple[DataF
               .when(ts.isNull(), F.lit("bad_time"))
               .when(parsed["image"].isNull() | img.isNull(), F.lit("bad_base64")))
     rest = [c for c in df.columns if c != value_col]
-    out = df.select(*rest, v.alias(value_col), parsed["camera_id"].alias("camera_id"),
-                    ts.cast("timestamp_ntz").alias("frame_ts"), img.alias("image"), reason.alias("reason"))
+    return df.select(*rest, v.alias(value_col), parsed["camera_id"].alias("camera_id"),
+                     ts.cast("timestamp_ntz").alias("frame_ts"), img.alias("image"), reason.alias("reason"))
+
+
+def parse_frame_messages(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Typed frames and rejects (see :func:`parse_with_reason`): good rows without the
+    message, rejects with the message and its ``reason``.  Who needs both of a
+    batch reads :func:`parse_with_reason` once instead."""
+    out = parse_with_reason(df, value_col)
+    rest = [c for c in df.columns if c != value_col]
     good = out.where(F.col("reason").isNull()).drop("reason", value_col)
     rejects = out.where(F.col("reason").isNotNull()).select(*rest, value_col, "reason")
     return good, rejects
@@ -105,32 +110,41 @@ def position_value(df: DataFrame, id_col: str = "ID", image: Column | None = Non
     return F.to_json(F.struct(*fields))
 
 
+def write_text_batch(values: DataFrame, path: str, batch_id: int) -> None:
+    """One micro-batch of text lines in a folder of its own: a batch that runs again replaces it."""
+    values.write.mode("overwrite").text(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
 def publish_positions(df: DataFrame, sink: str = "kafka", path: str | None = None,
                       topic: str = "position", checkpoint: str | None = None, **opts):
     """Serialise position records and write them.
 
     Batch DataFrames are written once; streaming ones start a query whose
     micro-batch commit replaces the per-record flush (returns the query).
-    ``sink="kafka"`` needs the connector; ``text``/``json`` write files.
-    """
-    out = df.select(F.col("camera_id").cast("string").alias("key"), position_value(df).alias("value"))
+    ``sink="kafka"`` needs the connector; ``text`` writes one JSON record a line,
+    a stream into ``<path>/batch_id=<n>``, so that a replayed batch neither loses nor doubles
+    records (``spark.read.text(path)`` reads them all).  A stream needs ``checkpoint``."""
+    if sink not in ("kafka", "text"):
+        raise ValueError(f"unknown sink {sink!r}: use 'kafka' or 'text'")
+    key, value = F.col("camera_id").cast("string").alias("key"), position_value(df).alias("value")
     if df.isStreaming:
-        w = out.writeStream.option("checkpointLocation", checkpoint)
+        if not checkpoint:
+            raise ValueError("a stream needs a checkpoint folder to survive a restart")
         if sink == "kafka":
-            w = w.format("kafka").option("topic", topic)
+            w = df.select(key, value).writeStream.format("kafka").option("topic", topic)
         else:
-            w = w.format("text").option("path", path)
-            out = out.select("value")
+            w = df.select(value).writeStream.foreachBatch(lambda batch, batch_id: write_text_batch(batch, path, batch_id))
+        w = w.option("checkpointLocation", checkpoint)
         for k, v in opts.items():
             w = w.option(k, v)
         return _kafka_gated(w.start) if sink == "kafka" else w.start()
     if sink == "kafka":
-        w = out.write.format("kafka").option("topic", topic)
+        w = df.select(key, value).write.format("kafka").option("topic", topic)
         for k, v in opts.items():
             w = w.option(k, v)
         _kafka_gated(w.save)
     else:
-        out.select("value").write.mode("overwrite").text(path)
+        df.select(value).write.mode("overwrite").text(path)
     return None
 
 

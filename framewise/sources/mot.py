@@ -25,13 +25,19 @@ def read_mot_detections(spark: SparkSession, root: str, detection_root: str | No
 
 
 def read_frame_index(spark: SparkSession, root: str, glob: str = "*/img1/*",
-                     pattern: str = r"([^/]+)/img1/[^/]+$") -> DataFrame:
+                     pattern: str = r"([^/]+)/img1/[^/]+$", frame_pattern: str = r"/([0-9]+)\.[^/.]*$") -> DataFrame:
     """Image listing: ``sequence``, ``frame_no`` (integer file stem), ``path``.
-    Only paths are selected, so file contents are never read."""
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{glob}").select("path")
-    stem = F.regexp_extract("path", r"/([0-9]+)\.[^/.]*$", 1)
+    Only paths are selected, so file contents are never read.  A tree with a folder
+    a frame (``sequence=<s>/frame_no=<n>/<any name>``) is listed with
+    :data:`FRAME_TREE` as keyword arguments."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(f"{root.rstrip('/')}/{glob}").select("path")
+    stem = F.regexp_extract("path", frame_pattern, 1)
     return files.select(F.regexp_extract("path", pattern, 1).alias("sequence"),
-                        stem.cast("int").alias("frame_no"), "path").where(F.col("frame_no").isNotNull())
+                        stem.try_cast("int").alias("frame_no"), "path").where(F.col("frame_no").isNotNull())
+
+
+#: Listing of a tree that a partitioned writer makes: one folder a frame.
+FRAME_TREE = {"glob": "sequence=*/frame_no=*/*", "pattern": r"sequence=([^/]+)/frame_no=[^/]+/[^/]+$", "frame_pattern": r"/frame_no=([0-9]+)/[^/]+$"}
 
 
 def frame_coverage(dets: DataFrame, frame_index: DataFrame, key: str = "sequence",

@@ -1,10 +1,16 @@
 """The live tracking pipeline as two Structured Streaming queries.
 
-Query 1 (intake and detection): frame messages -> parse (rejects kept aside)
--> freshness filter -> per micro-batch: newest frame per camera -> detector
-model on the executors -> NMS -> detections, frames without boxes included,
-written to ``<base>/detections/batch_id=<n>`` (overwrite, so a replayed
-batch is idempotent).
+Query 1 (intake and detection): frame messages -> parse and freshness, once, in the
+streaming plan, with counters observed in passing -> per micro-batch: the classified messages are
+written to ``<base>/intake/batch_id=<n>``; from there rejects, counts per camera and the
+newest fresh frame per camera -> detector model on the executors, written to
+``<base>/raw`` -> NMS -> detections, frames without boxes included, in
+``<base>/detections``.  All writes overwrite their batch's folder, so a
+replayed batch is idempotent, and nothing is held in executors.
+
+The batch clock of the freshness filter is ``current_timestamp()`` of the streaming
+plan: Spark records it with the batch's offsets before the batch runs, and a
+replayed batch gets the recorded one, so it drops the same frames.
 
 Query 2 (tracking): detections -> per-camera tracker state
 (``applyInPandasWithState``) -> all live tracks per frame and position
@@ -17,6 +23,7 @@ operator, which cannot run inside ``foreachBatch``.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +32,12 @@ from pyspark.sql import types as T
 
 from ..config import TrackerConfig
 from ..functions.common import epoch_micros
-from ..operators.frames import batch_intake_counts, drop_stale_frames, latest_frame_per_camera
+from ..operators.frames import FRESH, MALFORMED, classify_messages, count_classified, intake_metrics, latest_frame_per_camera
 from ..operators.inference import score_in_batches
 from ..operators.nms import nms_per_frame
 from ..operators.tracking import position_records
-from ..sources.messages import parse_frame_messages, position_value
+from ..sources.messages import position_value, write_text_batch
+from .progress import ProgressLog
 from .tracking import track_stream
 
 DETECTION_SCHEMA = T.StructType([
@@ -47,6 +55,16 @@ class PipelineHandles:
     detections: str
     tracks: str
     positions: str
+    rejects: str
+    counts: str
+    progress: str
+    listener: ProgressLog
+
+    def stop(self) -> None:
+        """Stop both queries and the progress log."""
+        for q in (self.intake, self.tracking):
+            q.stop()
+        self.listener.spark.streams.removeListener(self.listener)
 
 
 def tracking_pipeline(spark: SparkSession, messages: DataFrame, detector_factory, base: str,
@@ -63,49 +81,54 @@ def tracking_pipeline(spark: SparkSession, messages: DataFrame, detector_factory
     The newest frame is the last by ``order_cols``: by default Kafka's partition
     and offset where the source has them, else frame time and key.  Messages
     that do not parse are kept under ``rejects``, intake counts per camera under
-    ``counts``.  Without ``cfg`` a track keeps its last 100 samples.
+    ``counts``, one row per micro-batch and query with rates, seconds and observed counters under
+    ``progress`` (:func:`.progress.read_progress`).  Without ``cfg`` a track keeps its last 100 samples.
     ``max_files`` bounds what one tracking trigger takes in."""
     cfg = cfg or TrackerConfig(budget=100)
-    dets_path, tracks_path, pos_path = f"{base}/detections", f"{base}/tracks", f"{base}/positions"
+    at = {n: f"{base}/{n}" for n in ("intake", "raw", "detections", "tracks", "positions", "rejects", "counts", "progress")}
     have = set(messages.columns)
     if order_cols is None:
         order_cols = ("partition", "offset") if {"partition", "offset"} <= have else ("frame_ts", "key") if "key" in have else ("frame_ts",)
     extra = [c for c in order_cols if c != "frame_ts"]
+    names = {n: f"framewise-{n}-{zlib.crc32(base.encode())}" for n in ("intake", "tracking")}
+    log = ProgressLog(spark, at["progress"], names.values())
+    spark.streams.addListener(log)
 
     def intake_batch(df: DataFrame, batch_id: int):
-        df.persist()
-        now = F.lit(spark.sql("select current_timestamp() as t").first()["t"])
-        good, rejects = parse_frame_messages(df)
-        rejects.write.mode("overwrite").json(f"{base}/rejects/batch_id={batch_id}")
-        batch_intake_counts(df.withColumn("batch_id", F.lit(batch_id)), now, max_age_s=2**40 if max_age_s is None else max_age_s) \
-            .drop("batch_id").write.mode("overwrite").parquet(f"{base}/counts/batch_id={batch_id}")
-        if max_age_s is not None:
-            good = drop_stale_frames(good, now, "frame_ts", max_age_s)
-        good = good.withColumn("frame_no", epoch_micros("frame_ts"))
-        latest = latest_frame_per_camera(good.select("camera_id", "frame_no", "frame_ts", "image", *extra), order_cols, ("camera_id",))
+        batch = f"batch_id={batch_id}"
+        df.write.mode("overwrite").parquet(f"{at['intake']}/{batch}")      # the one pass that parses
+        seen = spark.read.schema(df.schema).parquet(f"{at['intake']}/{batch}")
+        seen.where(F.col("status") == MALFORMED).select(*[c for c in messages.columns], "reason") \
+            .write.mode("overwrite").json(f"{at['rejects']}/{batch}")
+        count_classified(seen.withColumn("camera_id", F.col("claimed")), ["camera_id"]) \
+            .write.mode("overwrite").parquet(f"{at['counts']}/{batch}")
+        fresh = seen.where(F.col("status") == FRESH).withColumn("frame_no", epoch_micros("frame_ts"))
+        latest = latest_frame_per_camera(fresh.select("camera_id", "frame_no", "frame_ts", "image", *extra), order_cols, ("camera_id",))
         frames = latest.select("camera_id", "frame_no", "frame_ts", "image")
-        # the model's output is used twice, for boxes and for frames without any
-        dets = score_in_batches(frames, detector_factory, DETECTION_SCHEMA, batch_size, one_to_one=False).persist()
+        # the model runs once; its output is read twice, for boxes and for frames without any
+        score_in_batches(frames, detector_factory, DETECTION_SCHEMA, batch_size, one_to_one=False) \
+            .write.mode("overwrite").parquet(f"{at['raw']}/{batch}")
+        dets = spark.read.schema(DETECTION_SCHEMA).parquet(f"{at['raw']}/{batch}")
         kept = nms_per_frame(dets.where(F.col("det_id").isNotNull()), cfg.nms_overlap)
         out = kept.unionByName(dets.where(F.col("det_id").isNull()), allowMissingColumns=True)
-        out.write.mode("overwrite").parquet(f"{dets_path}/batch_id={batch_id}")
-        dets.unpersist()
-        df.unpersist()
+        out.write.mode("overwrite").parquet(f"{at['detections']}/{batch}")
 
-    q1 = (messages.writeStream.foreachBatch(intake_batch)
+    classified = classify_messages(messages, F.current_timestamp(), max_age_s=max_age_s).observe("intake", *intake_metrics())
+    q1 = (classified.writeStream.queryName(names["intake"]).foreachBatch(intake_batch)
           .option("checkpointLocation", f"{base}/ckpt-intake").start())
 
     stored = T.StructType([*DETECTION_SCHEMA.fields, T.StructField("pick", T.IntegerType())])
-    det_stream = spark.readStream.schema(stored).option("maxFilesPerTrigger", max_files).parquet(f"{dets_path}/*")
+    det_stream = spark.readStream.schema(stored).option("maxFilesPerTrigger", max_files).parquet(f"{at['detections']}/*")
     tracks = track_stream(det_stream, cfg, key="camera_id")
 
     def tracking_batch(df: DataFrame, batch_id: int):
         # write once, derive positions from what was written (no second run of the stateful step)
-        df.write.mode("overwrite").parquet(f"{tracks_path}/batch_id={batch_id}")
-        pos = position_records(spark.read.parquet(f"{tracks_path}/batch_id={batch_id}"), ts_col=None,
-                               key="camera_id")
-        pos.select(position_value(pos).alias("value")).write.mode("overwrite").text(f"{pos_path}/batch_id={batch_id}")
+        path = f"{at['tracks']}/batch_id={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        rows = spark.read.schema(df.schema).parquet(path).where(F.col("track_id").isNotNull())
+        pos = position_records(rows, ts_col=None, key="camera_id")
+        write_text_batch(pos.select(position_value(pos).alias("value")), at["positions"], batch_id)
 
-    q2 = (tracks.writeStream.foreachBatch(tracking_batch).outputMode("append")
+    q2 = (tracks.writeStream.queryName(names["tracking"]).foreachBatch(tracking_batch).outputMode("append")
           .option("checkpointLocation", f"{base}/ckpt-tracking").start())
-    return PipelineHandles(q1, q2, dets_path, tracks_path, pos_path)
+    return PipelineHandles(q1, q2, at["detections"], at["tracks"], at["positions"], at["rejects"], at["counts"], at["progress"], log)
