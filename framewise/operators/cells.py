@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sorted_groups import cpu_parallelism
+
 
 #: Frames with no more left x right rows than this are one cell: comparing them is cheaper than cutting.
 SMALL_FRAME = 256
@@ -51,6 +53,7 @@ def cell_pairs(left: DataFrame, right: DataFrame, keys, lbox: tuple[Column, ...]
     keys = list(keys)
     rows = _side(left, keys, lbox, "_a", "_b", _row_type(right, keys), cell, keep_left).unionByName(
         _side(right, keys, rbox, "_b", "_a", _row_type(left, keys), cell, False))
+    rows = rows.repartition(cpu_parallelism(left), *keys)
     rows = rows.select("*", *[F.coalesce(F.col(f"_a.{c}"), F.col(f"_b.{c}")).alias(f"_{c}") for c in ("x1", "y1", "x2", "y2", "level")])
     frame = Window.partitionBy(*keys)
     # sizes are doublings, 60 of them cover any pixel: a frame's levels are the bits of one number

@@ -22,7 +22,7 @@ from ..session import ship_package, written_once
 from .assignment import min_cost_matching
 from .cells import cell_pairs
 from .motion import mahalanobis_pairs
-from .sorted_groups import iter_groups, python_parallelism
+from .sorted_groups import iter_groups, cpu_parallelism
 
 
 def association_costs(tracks: DataFrame, gallery: DataFrame, dets: DataFrame,
@@ -108,7 +108,7 @@ def match_min_cost(edges: DataFrame, max_distance: float, keys=("camera_id", "fr
     # one nullable column for the payload: both branches ask for it whole, so that their
     # shuffles are one and the same, whatever columns the caller goes on to use
     e = e.select(*keys, left, right, F.when(F.col(cost).isNotNull(), F.struct(*rest)).alias("_p"))
-    tasks = python_parallelism(e)
+    tasks = cpu_parallelism(e)
     e = e.repartition(tasks, *keys)
     alone = (F.count(F.lit(1)).over(Window.partitionBy(*keys, left)) == 1) & (F.count(F.lit(1)).over(Window.partitionBy(*keys, right)) == 1)
     e = e.withColumn("_lone", alone).where(F.col("_p").isNotNull())

@@ -10,6 +10,7 @@ from ..functions import motion as KF
 from ..functions.common import col
 from ..session import scratch_path
 from .cells import cell_pairs
+from .sorted_groups import cpu_parallelism
 
 STATE = "kf"
 
@@ -72,26 +73,41 @@ def _let(value, body):
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _filter_piece(seen: str, start: str, low, high):
-    """Fold over the frames ``low`` to ``high`` of one piece: struct(state, out), where ``out``
-    has a row a frame.  ``seen`` are the piece's observations in frame order, ``start`` the state before it
-    (null: the first frame, which is observed, initiates one)."""
-    rows = f"array<struct<frame:bigint,observed:boolean,kf:{KF.STATE_DDL}>>"
-    zero = F.struct(F.col(start).alias("state"), F.lit(0).alias("next"), F.array().cast(rows).alias("out"))
-
-    def advance(acc, f, o, ahead):
-        hit = F.coalesce(o["frame"] == f, F.lit(False))
-        z = [o["z"][c] for c in ("cx", "cy", "a", "h")]
-        state = F.when(~hit, ahead).when(ahead.isNull(), KF.initiate(*z)).otherwise(KF.update(ahead, *z))
-        return _let(state, lambda s: F.struct(
-            s.alias("state"), (acc["next"] + hit.cast("int")).alias("next"),
-            F.concat(acc["out"], F.array(F.struct(f.alias("frame"), hit.alias("observed"), s.alias("kf")))).alias("out")))
+_STRETCH = 8
+_ROWS = f"array<struct<frame:bigint,observed:boolean,kf:{KF.STATE_DDL}>>"
 
-    def step(acc, f):
-        ahead = F.when(acc["state"].isNotNull(), KF.predict(acc["state"]))
-        return _let(F.get(F.col(seen), acc["next"]), lambda o: _let(ahead, lambda s: advance(acc, f, o, s)))
 
-    return F.aggregate(F.sequence(low, high), zero, step, lambda acc: F.struct(acc["state"].alias("state"), acc["out"].alias("out")))
+def _filter_piece(seen: str, start: str, low, high):
+    """Rows of the frames ``low`` to ``high`` of one piece.  ``seen`` are the piece's
+    observations in frame order, ``start`` the state before it (null: the first frame,
+    which is observed, initiates one).  The accumulator is the rows so far; the last one holds the
+    state.  Spark copies an accumulator at every step, so the fold goes by stretches of a few
+    observations, and only their results are gathered by an outer one."""
+    before = F.array(F.struct((low - 1).alias("frame"), F.lit(False).alias("observed"), F.col(start).alias("kf"))).cast(_ROWS)
+    # the frame after the last observation up to the piece's end: one entry without a measurement
+    entries = F.concat(F.coalesce(F.col(seen), F.array().cast("array<struct<frame:bigint,z:struct<cx:double,cy:double,a:double,h:double>>>")),
+                       F.array(F.struct(high.cast("bigint").alias("frame"), F.lit(None).cast("struct<cx:double,cy:double,a:double,h:double>").alias("z"))))
+
+    def last(acc):
+        return F.get(acc, F.size(acc) - 1)
+
+    def frame_row(acc, f, o):
+        z, here = [o["z"][c] for c in ("cx", "cy", "a", "h")], (f == o["frame"]) & o["z"].isNotNull()
+        ahead = F.when(last(acc)["kf"].isNotNull(), KF.predict(last(acc)["kf"]))
+        state = _let(ahead, lambda s: F.when(~here, s).when(s.isNull(), KF.initiate(*z)).otherwise(KF.update(s, *z)))
+        return F.concat(acc, F.array(F.struct(f.alias("frame"), here.alias("observed"), state.alias("kf"))))
+
+    def entry(acc, o):
+        frames = F.sequence(last(acc)["frame"] + 1, o["frame"])
+        return F.when(last(acc)["frame"] >= o["frame"], acc).otherwise(F.aggregate(frames, acc, lambda rows, f: frame_row(rows, f, o)))
+
+    def stretch(acc, i):
+        return F.concat(acc, F.array(F.aggregate(F.slice(entries, i * _STRETCH + 1, F.lit(_STRETCH)), F.array(last(last(acc))), entry)))
+
+    stretches = F.sequence(F.lit(0), F.floor((F.size(entries) - 1) / _STRETCH).cast("int"))
+    # every stretch begins with the last row of the one before
+    return F.aggregate(stretches, F.array(before), stretch,
+                       lambda acc: F.flatten(F.transform(acc, lambda rows: F.slice(rows, F.lit(2), F.size(rows)))))
 
 
 def kalman_filter_tracks(obs: DataFrame, key: str = "track_id", frame: str = "frame_no",
@@ -101,8 +117,8 @@ def kalman_filter_tracks(obs: DataFrame, key: str = "track_id", frame: str = "fr
     with a measurement; of several in one frame the greatest counts).
 
     JVM expressions only.  A series is cut into pieces of ``chunk`` frames; a piece is one row,
-    filtered by a fold whose accumulator is the 20-number state, the rows so far and
-    the place in its observations.  Pieces of different series run in parallel; the state at a
+    filtered by a fold over its observations whose accumulator is the rows so far, the last of
+    which holds the 20-number state.  Pieces of different series run in parallel; the state at a
     piece's end is handed on to the series' next piece, one round of joins per piece
     of the longest series (none when every series fits one piece).  Rows with a null key or frame are left out."""
     spark = obs.sparkSession
@@ -116,12 +132,14 @@ def kalman_filter_tracks(obs: DataFrame, key: str = "track_id", frame: str = "fr
     following = lambda o, i: F.get(F.col("_all"), i + 1)["frame"]
     pieces = pieces.withColumn("_seen", F.filter("_all", lambda o, i: following(o, i).isNull() | (following(o, i) != o["frame"]))).drop("_all")
     spine = span.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_last") - F.col("_first")) / chunk))))
-    pieces = spine.join(pieces, [key, "_piece"], "left")
+    # a fold is dear for its bytes: both sides keep their number of tasks
+    tasks, by = cpu_parallelism(obs), [key, "_piece"]
+    pieces = spine.repartition(tasks, *by).join(pieces.repartition(tasks, *by), by, "left")
     low = F.col("_first") + F.col("_piece") * chunk
     high = F.least(F.col("_last"), low + chunk - 1)
 
     def rows(filtered):
-        return filtered.select(key, F.explode("_r.out").alias("_o")).select(
+        return filtered.select(key, F.explode("_r").alias("_o")).select(
             key, F.col("_o.frame").alias(frame), F.col("_o.observed").alias("observed"), "_o.kf.*")
 
     if not rounds:
@@ -137,6 +155,6 @@ def kalman_filter_tracks(obs: DataFrame, key: str = "track_id", frame: str = "fr
         done = now.withColumn("_r", _filter_piece("_seen", "_start", low, high)).select(key, "_r")
         done.write.parquet(f"{base}/round={k}")
         done = spark.read.schema(done.schema).parquet(f"{base}/round={k}")
-        states = done.select(key, F.col("_r.state").alias("_start"))
+        states = done.select(key, F.element_at("_r", -1)["kf"].alias("_start"))
         out = rows(done) if out is None else out.unionByName(rows(done))
     return out

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from ..session import ship_package
 
 
-def python_parallelism(df: DataFrame) -> int:
-    """Partition count for CPU-bound Python stages.  Their shuffle input is
+def cpu_parallelism(df: DataFrame) -> int:
+    """Partition count for CPU-bound stages (Python, folds over arrays).  Their shuffle input is
     small in bytes, so size-based coalescing (AQE) would squeeze them into a
     few tasks; an explicit count keeps every core busy."""
     spark = df.sparkSession
@@ -47,7 +47,7 @@ def map_sorted_groups(df: DataFrame, keys, order, schema,
     """
     keys, order = list(keys), list(order)
     ship_package(df.sparkSession)
-    parted = df.repartition(num_partitions or python_parallelism(df), *keys)
+    parted = df.repartition(num_partitions or cpu_parallelism(df), *keys)
     ordered = parted.sortWithinPartitions(*(keys + order))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

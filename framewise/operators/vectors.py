@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from .sorted_groups import cpu_parallelism
 
 
 def l2_normalize(df: DataFrame, column: str, eps: float | None = None,
@@ -25,11 +26,10 @@ def l2_normalize(df: DataFrame, column: str, eps: float | None = None,
 def sliced_join(a: DataFrame, b: DataFrame, on, a_part: Column, slices: int) -> DataFrame:
     """Inner join on ``on`` with each key's left rows dealt to ``slices`` groups by ``a_part``
     and the right rows sent to each of them."""
-    if slices <= 1:
-        return a.join(b, list(on))
     left = a.withColumn("_slice", F.pmod(F.xxhash64(a_part), F.lit(slices)).cast("int"))
     right = b.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return left.join(right, [*on, "_slice"]).drop("_slice")
+    keys, tasks = [*on, "_slice"], cpu_parallelism(a)
+    return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys).drop("_slice")
 
 
 def cosine_distance_pairs(a: DataFrame, b: DataFrame, on, a_vec: str = "a_feature",
@@ -108,7 +108,8 @@ def nearest_gallery_distance(queries: DataFrame, gallery: DataFrame, metric: str
     pair = pair.withColumn("_reach", most + _SLACK)
     left = pair.select(*mine, query_id, "_q", "_d", "_reach", F.size("_pivots").alias("_np"),
                        F.explode(F.transform(F.filter("_tiles", lambda t: least(t) <= F.col("_reach")), lambda t: t["_tile"])).alias("_tile"))
-    both = left.join(samples, [*mine, "_tile"])
+    tasks, tile = cpu_parallelism(gallery), [*mine, "_tile"]
+    both = left.repartition(tasks, *tile).join(samples.repartition(tasks, *tile), tile)
     both = both.where(F.array_max(F.zip_with("_d", "_r", lambda d, r: F.abs(d - r))) <= F.col("_reach"))
     exact = V.cosine_distance("_q", "_g", normalized=True) if metric == "cosine" else V.squared_euclidean("_q", "_g")
     out = both.groupBy(*mine, query_id).agg(F.min(exact).alias("distance"), (F.count(F.lit(1)) + F.max("_np")).alias("compared"))

@@ -386,7 +386,7 @@ where {_OVL}
 """
 
 _G3_EDGES_PLAIN = f"""
-select t.camera_id, t.frame_no, t.track_id, d.det_id, t.time_since_update as level,
+select t.camera_id, t.frame_no, t.track_id, d.det_id, t.level,
        1.0 - {_IOU} as cost
 from fx_tracks t join fx_meas d on t.camera_id = d.camera_id and t.frame_no = d.frame_no
 where {_OVL}
@@ -395,10 +395,10 @@ where {_OVL}
 
 def _iou_edges(spark, sf, plain=False):
     tr = fixture(spark, sf, "fx_tracks").select(
-        "camera_id", "frame_no", "track_id", "time_since_update",
+        "camera_id", "frame_no", "track_id", "time_since_update", "level",
         *[F.col(c).alias(f"t_{c}") for c in ("x", "y", "w", "h")])
-    if plain:
-        tr = tr.withColumn("_tsu", F.col("time_since_update")).withColumn("time_since_update", F.lit(1))
+    if plain:  # twelve levels of the cascade
+        tr = tr.withColumn("_tsu", F.col("level")).withColumn("time_since_update", F.lit(1))
     me = fixture(spark, sf, "fx_meas").select(
         "camera_id", "frame_no", "det_id", *[F.col(c).alias(f"d_{c}") for c in ("x", "y", "w", "h")])
     c = G.iou_cost(tr, me, tbox=("t_x", "t_y", "t_w", "t_h"), dbox=("d_x", "d_y", "d_w", "d_h"))

@@ -119,7 +119,7 @@ def tracking_pipeline(spark: SparkSession, messages: DataFrame, detector_factory
 
     stored = T.StructType([*DETECTION_SCHEMA.fields, T.StructField("pick", T.IntegerType())])
     det_stream = spark.readStream.schema(stored).option("maxFilesPerTrigger", max_files).parquet(f"{at['detections']}/*")
-    tracks = track_stream(det_stream, cfg, key="camera_id")
+    tracks = track_stream(det_stream, cfg, key="camera_id", count_late=True)
 
     def tracking_batch(df: DataFrame, batch_id: int):
         # write once, derive positions from what was written (no second run of the stateful step)
