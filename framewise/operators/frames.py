@@ -47,7 +47,7 @@ def latest_frame_per_camera(df: DataFrame, order_cols=("frame_ts", "event_id"),
     return df.join(last, same, "left_semi").dropDuplicates(keys)
 
 
-def _dense_rank(df: DataFrame, key: str, order: str, bucket: int) -> DataFrame:
+def dense_rank(df: DataFrame, key: str, order: str, bucket: int) -> DataFrame:
     """Rank rows per key by ``order`` (1, 2, ...) without one window per key:
     local row numbers per (key, order div bucket) plus a carried count of the
     key's earlier buckets (a small per-bucket summary)."""
@@ -76,7 +76,7 @@ def frame_rate(frames: DataFrame, n: int = 10, key: str = "camera_id",
     halo = n
     if bucket <= halo:
         raise ValueError("bucket must exceed n")
-    rows = _dense_rank(frames.select(key, order, ts), key, order, bucket)
+    rows = dense_rank(frames.select(key, order, ts), key, order, bucket)
     r = F.col("_rank")
     shifts = F.when(r % bucket >= bucket - halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = (rows.withColumn("_shift", F.explode(shifts))
