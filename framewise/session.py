@@ -40,8 +40,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
+    # a local session computes in the driver; elsewhere its memory is the cluster's business
+    memory = os.environ.get("SPARK_DRIVER_MEMORY", "8g" if (master or "").startswith("local") else "")
+    if memory:
+        builder = builder.config("spark.driver.memory", memory)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
