@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, free_name, schema_of
+from .common import crc_mod, free_name, schema_of, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BUCKETS, DIM, N_MIN, N_MAX = 1 << 15, 16, 2, 4
@@ -152,22 +152,25 @@ def train(texts: list[str], langs: list[str], epochs: int = 3, rate: float = 20.
     return model
 
 
-def fit_language_model(docs: DataFrame, per_lang: int = 800, max_langs: int = 200,
+def fit_language_model(docs: DataFrame, per_lang: int = 800, most_rows: int = 160_000,
                        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Train on about ``per_lang`` whole texts of each language (a documented bound).
+    """Train on about ``per_lang`` whole texts of each language, fewer where there are so many
+    languages that this would exceed ``most_rows`` in all (documented bounds).  Every language is learned.
 
     The rows of a language are those whose hash of id and text falls below a
     level set from the language's row count; so the sample needs no sort and no
-    group in one task.  The ``max_langs`` most frequent languages are learned.
+    group in one task.  Rows that are equal in id, text and language count once.
     """
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
     rows = rows.filter("t is not null and l is not null")
-    sizes = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_langs).collect()
-    if not sizes:
+    sizes = stored(rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")), "languages")
+    langs = sizes.count()
+    if not langs:
         return train([], [])
-    level = F.create_map(*[F.lit(v) for r in sizes for v in (r["l"], min(1.0, per_lang / r["count"]))])
+    share = max(1, min(per_lang, most_rows // langs))
     h = F.pmod(F.xxhash64("i", "t"), F.lit(1 << 30)) / float(1 << 30)
-    got = rows.filter(h < level[F.col("l")]).limit(2 * per_lang * len(sizes)).collect()
+    picked = rows.join(sizes, "l").filter(h * F.col("n") < share).select("i", "t", "l").dropDuplicates()
+    got = picked.collect()
     got.sort(key=lambda r: (str(r["i"]), r["l"], r["t"]))
     return train([r["t"] for r in got], [r["l"] for r in got])
 

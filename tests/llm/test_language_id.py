@@ -41,3 +41,18 @@ def test_subwords_stay_inside_letter_runs():
 def test_nothing_to_learn_from():
     assert li.train([], []).langs == []
     assert li.train(["12", "34"], ["en", "fr"]).langs == []
+
+
+def test_every_language_is_learned_and_copies_count_once(spark, monkeypatch):
+    """More languages than any fixed list: all can be predicted, and a repeated row does not fill the sample."""
+    seen = []
+    monkeypatch.setattr(li, "train", lambda texts, langs: seen.append((texts, langs)))
+    rows = [(i * 300 + k, f"text {i} of {k}", f"l{k}") for k in range(300) for i in range(3)] + [(7, "again and again", "l7")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    li.fit_language_model(docs)
+    li.fit_language_model(docs, most_rows=300)
+    (texts, langs), (_, fewer) = seen
+    assert set(langs) == {f"l{k}" for k in range(300)} and texts.count("again and again") == 1
+    assert len(fewer) < 600
+    li.fit_language_model(docs.filter("false"))
+    assert seen[-1] == ([], [])
