@@ -151,7 +151,7 @@ def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "sour
     """Add ``position``: the gapless place of each row in the mixed order.
 
     ``weights`` maps sources to target weights (default: row counts to the power
-    of ``temperature``).  A null source is a source of its own.  Every source is
+    of ``temperature``); sources of any type are told apart by their text form.  A null source is a source of its own.  Every source is
     mixed by itself, however many there are; the driver holds one small row per
     source.  Sources to which ``weights`` gives nothing have no target: they come
     after all others, mixed among themselves by the default weights.  A caller who
@@ -160,10 +160,11 @@ def mix(docs: DataFrame, ident: list[str], weights=None, source_col: str = "sour
     order is by hash and value of ``ident``.  Repeated rows each get a place; an
     empty table gives an empty one.
     """
-    sizes = {r["s"]: r["n"] for r in docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["s"]: r["n"] for r in docs.groupBy(F.col(source_col).cast("string").alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = sum(sizes.values())
     usual = source_weights(sizes, temperature)
-    goal = usual if weights is None else {s: weights[s] for s in sizes if weights.get(s)}
+    given = {s if s is None else str(s): w for s, w in (weights or {}).items()}
+    goal = usual if weights is None else {s: given[s] for s in sizes if given.get(s)}
     by_weight = sorted(goal, key=lambda s: (-goal[s], s is not None, s))
     alone = by_weight if max_sources is None else by_weight[:max_sources - 1]
     groups = [[s] for s in alone] + [[s] for s in sizes if s not in goal]

@@ -130,3 +130,15 @@ def test_asked_for_pool_has_the_summed_weight(spark):
     out["source"] = np.where(out.source == "big", "big", "pool")
     share = 10 / (10 + 25 * 2)
     assert max(lags(out, {"big": share, "pool": 1 - share}).values()) < 1
+
+
+def test_sources_of_any_type(spark):
+    """Whole numbers and dates as sources: the same order as their texts, with and without weights."""
+    rows = [(i, i % 3 if i % 10 else None) for i in range(400)]
+    numbers = spark.createDataFrame(rows, "doc_id long, source int")
+    texts = numbers.withColumn("source", numbers.source.cast("string"))
+    for weights in (None, {0: 3.0, 1: 1.0, None: 2.0}):
+        named = weights and {None if s is None else str(s): w for s, w in weights.items()}
+        a = {r["doc_id"]: r["position"] for r in mixing.mix(numbers, ["doc_id"], weights).collect()}
+        b = {r["doc_id"]: r["position"] for r in mixing.mix(texts, ["doc_id"], named).collect()}
+        assert a == b and sorted(a.values()) == list(range(400))
