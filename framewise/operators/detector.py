@@ -234,20 +234,29 @@ def assign_truth_to_anchors(truths: DataFrame, anchors=DEFAULT_ANCHORS, input_si
         F.array_sort(F.collect_set("class_id")).alias("classes")).select(*keys, "_b.*", "classes")
 
 
-def detector_loss(decoded: DataFrame, targets: DataFrame, ignore: DataFrame,
-                  input_size=(416, 416)) -> DataFrame:
+def _with_anchor_place(decoded: DataFrame) -> DataFrame:
+    """Predictions with ``k``, the place of their anchor within its level."""
+    return decoded.withColumn("k", F.col("anchor_id") - F.element_at(
+        F.array(*[F.lit(m[0]) for m in ANCHOR_MASK]), F.col("level") + 1))
+
+
+def truths_without_prediction(decoded: DataFrame, targets: DataFrame) -> DataFrame:
+    """Targets whose cell and anchor have no prediction row: a sparse grid leaves them out of
+    :func:`detector_loss`, a whole grid has none."""
+    cells = _with_anchor_place(decoded).select("image_id", "level", F.col("gy").alias("j"), F.col("gx").alias("i"), "k")
+    return targets.join(cells, ["image_id", "level", "j", "i", "k"], "left_anti")
+
+
+def detector_loss(decoded: DataFrame, targets: DataFrame, input_size=(416, 416)) -> DataFrame:
     """Per image and level: box, objectness and class loss over the given
-    prediction rows (sparse grid), with targets from
-    :func:`assign_truth_to_anchors` and the ignore flag of
-    :func:`best_truth_iou`."""
+    prediction rows (sparse grid; see :func:`truths_without_prediction`), which carry the ``ignore`` flag of
+    :func:`best_truth_iou`, with targets from :func:`assign_truth_to_anchors`."""
     in_h, in_w = input_size
     keys = ["image_id", "level"]
-    p = decoded.withColumn("k", F.col("anchor_id") - F.element_at(
-        F.array(*[F.lit(m[0]) for m in ANCHOR_MASK]), F.col("level") + 1))
+    p = _with_anchor_place(decoded)
     tg = targets.select("image_id", "level", F.col("j").alias("gy"), F.col("i").alias("gx"), "k",
                         "tx", "ty", "tw", "th", "classes", F.lit(1.0).alias("obj"))
-    j = p.join(tg, ["image_id", "level", "gy", "gx", "k"], "left") \
-         .join(ignore.select("vec_id", "ignore"), "vec_id", "left")
+    j = p.join(tg, ["image_id", "level", "gy", "gx", "k"], "left")
     obj = F.coalesce(F.col("obj"), F.lit(0.0))
     gw, gh = _grid(F.col("level"), in_w), _grid(F.col("level"), in_h)
     dx, dy = (F.col("tx") - F.col("bx")) * gw, (F.col("ty") - F.col("by")) * gh

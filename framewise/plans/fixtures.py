@@ -30,7 +30,7 @@ from (select *, cast(row_number() over (partition by l_orderkey
 
 TRACKS = """
 select camera_id, frame_no, det_id as track_id, x, y, w, h,
-       cast(1 + det_id % 2 as int) as time_since_update, cast(1 + floor(class_id / 2) % 12 as int) as level
+       cast(1 + det_id % 2 as int) as time_since_update, cast(1 + (det_id * 5 + class_id) % 12 as int) as level
 from fx_dets where class_id % 2 = 0
 """
 

@@ -391,10 +391,10 @@ from j group by image_id, level
 def _losses(spark, sf):
     raw, dec = _decoded(spark, sf)
     targets = D.assign_truth_to_anchors(fixture(spark, sf, "fx_truth"))
-    ign = D.best_truth_iou(dec.select("image_id", "level", "vec_id", "bx", "by", "bw", "bh"),
-                           targets.select("image_id", "level", "tx", "ty", "tw", "th"),
-                           keys=("image_id", "level"))
-    return D.detector_loss(dec, targets, ign)
+    # predictions are decoded once and take their best overlap along
+    dec = dec.select("image_id", "level", "vec_id", "gy", "gx", "anchor_id", "bx", "by", "bw", "bh", "objectness", "class_probs")
+    seen = D.best_truth_iou(dec, targets.select("image_id", "level", "tx", "ty", "tw", "th"), keys=("image_id", "level"))
+    return D.detector_loss(seen, targets)
 
 
 @query("l2_detector_loss", _L2_SQL + _L2_LOSSES)
@@ -410,3 +410,15 @@ from losses
 def q_l2_batch(spark, sf):
     """Compared to three places, as the oracle sums rounded parts."""
     return D.batch_loss(_losses(spark, sf)).select("n_images", F.round("loss", 3).alias("loss"))
+
+
+@query("l2u_truths_without_prediction", _L2_SQL + """
+select t.image_id, t.level, count(*) as n_truths from targets t
+where not exists (select 1 from dec p where t.image_id = p.image_id and t.level = p.level and t.j = p.gy and t.i = p.gx
+                  and t.k = p.anchor_id - [6, 3, 0][p.level + 1])
+group by t.image_id, t.level
+""")
+def q_l2u(spark, sf):
+    _, dec = _decoded(spark, sf)
+    missing = D.truths_without_prediction(dec, D.assign_truth_to_anchors(fixture(spark, sf, "fx_truth")))
+    return missing.groupBy("image_id", F.col("level").cast("int").alias("level")).agg(F.count(F.lit(1)).alias("n_truths"))
