@@ -153,9 +153,12 @@ def test_pipeline_reports_every_batch_and_observes_in_passing(spark):
     from framewise.streaming.progress import read_progress, stream_latency
 
     h = run_scene_pipeline(spark, SF_SMALL)
-    time.sleep(2)  # reports reach the listener a little later
-    rows = read_progress(spark, h.progress).collect()
-    intake = sorted((r for r in rows if "intake" in r["query"]), key=lambda r: r.batch_id)
+    for _ in range(60):  # reports reach the listener a little later
+        rows = read_progress(spark, h.progress).collect()
+        intake = sorted((r for r in rows if "intake" in r["query"]), key=lambda r: r.batch_id)
+        if len(intake) == 5:
+            break
+        time.sleep(1)
     assert [r.batch_id for r in intake] == list(range(5)) and all(r.duration_s > 0 and r.phases for r in intake)
     counts = spark.read.parquet(h.counts).groupBy("batch_id").agg(*[F.sum(c).alias(c) for c in ("received", "malformed", "stale")]).collect()
     assert {r.batch_id: (r.received, r.malformed, r.stale) for r in counts} == \
