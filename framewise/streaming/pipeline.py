@@ -64,6 +64,7 @@ class PipelineHandles:
         """Stop both queries and the progress log."""
         for q in (self.intake, self.tracking):
             q.stop()
+        self.listener.settle((self.intake, self.tracking))
         self.listener.spark.streams.removeListener(self.listener)
 
 

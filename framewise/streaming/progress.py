@@ -8,6 +8,7 @@ the counters that the query observes in passing.
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,15 @@ class ProgressLog(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str, names=()):
         self.spark, self.path, self.names = spark, path.rstrip("/"), set(names)
+        self.written: dict[str, int] = {}
+
+    def settle(self, queries, seconds: float = 20.0) -> None:
+        """Wait until the last batch of each (stopped) query is written; reports come a little after their batch."""
+        end = time.monotonic() + seconds
+        for q in queries:
+            last = max((p["batchId"] for p in q.recentProgress if p["numInputRows"]), default=-1)
+            while self.written.get(q.name, -1) < last and time.monotonic() < end:
+                time.sleep(0.1)
 
     def onQueryStarted(self, event):
         pass
@@ -40,6 +50,7 @@ class ProgressLog(StreamingQueryListener):
         # a batch that is reported again replaces its row
         line = self.spark.createDataFrame([(json.dumps(row),)], "value string")
         line.coalesce(1).write.mode("overwrite").text(f"{self.path}/query={p.name}/run={p.runId}/batch_id={p.batchId}")
+        self.written[p.name] = max(p.batchId, self.written.get(p.name, -1))
 
     def onQueryIdle(self, event):
         pass
