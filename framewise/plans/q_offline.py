@@ -16,6 +16,7 @@ from ..operators import inference as INF
 from ..operators import matching as A
 from ..operators import motion as K
 from ..operators import tracking as TR
+from ..operators.sorted_groups import cpu_parallelism
 from ..session import scratch_path
 from ..sources import dims as DM
 from ..sources import mot as MOT
@@ -193,7 +194,8 @@ def q_s6(spark, sf):
     root = scratch_path(spark, "frames")
     c = spark.read.parquet(f"{sf}/customer.parquet")
     c.select(F.col("c_nationkey").alias("sequence"), F.col("c_custkey").alias("frame_no"), F.col("c_name").alias("value")) \
-        .repartition("sequence").write.partitionBy("sequence", "frame_no").text(root)
+        .repartition(cpu_parallelism(c), "sequence", "frame_no").write.partitionBy("sequence", "frame_no") \
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)  # tasks move their folders, not the driver
     idx = MOT.read_frame_index(spark, root, **MOT.FRAME_TREE)
     return idx.groupBy("sequence", "frame_no").agg(F.count(F.lit(1)).alias("n_files"))
 

@@ -25,19 +25,23 @@ def read_mot_detections(spark: SparkSession, root: str, detection_root: str | No
 
 
 def read_frame_index(spark: SparkSession, root: str, glob: str = "*/img1/*",
-                     pattern: str = r"([^/]+)/img1/[^/]+$", frame_pattern: str = r"/([0-9]+)\.[^/.]*$") -> DataFrame:
+                     pattern: str = r"([^/]+)/img1/[^/]+$", frame_pattern: str = r"/([0-9]+)\.[^/.]*$",
+                     recursive: bool = False) -> DataFrame:
     """Image listing: ``sequence``, ``frame_no`` (integer file stem), ``path``.
     Only paths are selected, so file contents are never read.  A tree with a folder
     a frame (``sequence=<s>/frame_no=<n>/<any name>``) is listed with
-    :data:`FRAME_TREE` as keyword arguments."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(f"{root.rstrip('/')}/{glob}").select("path")
+    :data:`FRAME_TREE` as keyword arguments.  A glob is looked up by the driver, folder by folder; with ``recursive`` the folders
+    below those that it names are listed by Spark's tasks, and files whose path does not match ``pattern`` are left out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(f"{root.rstrip('/')}/{glob}").select("path")
+    if recursive:
+        files = files.where(F.col("path").rlike(pattern))
     stem = F.regexp_extract("path", frame_pattern, 1)
     return files.select(F.regexp_extract("path", pattern, 1).alias("sequence"),
                         stem.try_cast("int").alias("frame_no"), "path").where(F.col("frame_no").isNotNull())
 
 
 #: Listing of a tree that a partitioned writer makes: one folder a frame.
-FRAME_TREE = {"glob": "sequence=*/frame_no=*/*", "pattern": r"sequence=([^/]+)/frame_no=[^/]+/[^/]+$", "frame_pattern": r"/frame_no=([0-9]+)/[^/]+$"}
+FRAME_TREE = {"glob": "sequence=*", "recursive": True, "pattern": r"sequence=([^/]+)/frame_no=[^/]+/[^/]+$", "frame_pattern": r"/frame_no=([0-9]+)/[^/]+$"}
 
 
 def frame_coverage(dets: DataFrame, frame_index: DataFrame, key: str = "sequence",
