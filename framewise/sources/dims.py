@@ -18,9 +18,9 @@ def load_dimensions(spark: SparkSession, classes_path: str, anchors_path: str) -
     classes = ct.select(F.posexplode(lines).alias("class_id", "class_name")) \
                 .select(F.col("class_id").cast("int"), F.trim("class_name").alias("class_name"))
     at = spark.read.text(anchors_path, wholetext=True)
-    nums = F.transform(F.split(F.split(F.col("value"), "\r?\n")[0], ","), lambda s: F.trim(s).cast("double"))
-    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size(nums) / 2) - 1),
-                        lambda i: F.struct(i.cast("int").alias("anchor_id"), nums[2 * i].alias("anchor_w"),
-                                           nums[2 * i + 1].alias("anchor_h")))
-    anchors = at.select(F.explode(pairs).alias("a")).select("a.*")
-    return classes, anchors
+    # the line is cut into pairs first and their numbers are read row by row, so a long line is read once
+    first = F.split("value", "\r?\n", 2)[0]
+    pairs = F.split(F.regexp_replace(first, "([^,]*),([^,]*)(,|$)", "$1,$2\n"), "\n")
+    cut = at.select(F.posexplode(pairs).alias("anchor_id", "_pair")).where(F.contains("_pair", F.lit(",")))
+    w, h = (F.trim(F.split("_pair", ",")[i]).cast("double") for i in (0, 1))
+    return classes, cut.select("anchor_id", w.alias("anchor_w"), h.alias("anchor_h"))
