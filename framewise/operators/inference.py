@@ -28,12 +28,17 @@ def score_in_batches(df: DataFrame, model_factory: Callable[[], Callable[[pd.Dat
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = model_factory()
         for pdf in batches:
+            scored = []
             for s in range(0, len(pdf), batch_size):
-                part = pdf.iloc[s:s + batch_size].reset_index(drop=True)
+                part = pdf.iloc[s:s + batch_size]
+                part.index = range(len(part))
                 out = model(part)
                 if one_to_one and len(out) != len(part):
                     raise ValueError("model must return one row per input row")
-                yield out
+                scored.append(out)
+            # one frame goes back for each that came: a hand-over costs more than a small model
+            if scored:
+                yield scored[0] if len(scored) == 1 else pd.concat(scored, ignore_index=True)
 
     return df.mapInPandas(run, out_schema)
 
@@ -47,13 +52,13 @@ def linear_encoder(weights, inputs=("x", "y", "w", "h"), keep=(), out: str = "fe
 
     def factory():
         def model(pdf: pd.DataFrame) -> pd.DataFrame:
-            X = pdf[list(inputs)].to_numpy(dtype=float)
+            X = np.column_stack([pdf[c].to_numpy(dtype=float) for c in inputs])
             V = X @ W.T
             V = V / np.sqrt(eps + (V * V).sum(axis=1, keepdims=True))
-            res = pdf[list(keep)].copy()
             bad = np.isnan(X).any(axis=1)          # no input (e.g. empty crop) -> no vector
-            res[out] = [None if b else v for b, v in zip(bad, V)]
-            return res
+            vectors = np.empty(len(V), dtype=object)
+            vectors[:] = [None if b else v for b, v in zip(bad, V)]
+            return pd.DataFrame({**{c: pdf[c].array for c in keep}, out: vectors}, copy=False)
         return model
 
     return factory
@@ -77,6 +82,7 @@ def mot_feature_job(spark, det_root: str, frame_index: DataFrame, sizes: DataFra
 
     from ..sources.mot import frame_coverage, read_mot_detections, write_feature_store
     from .detector import crop_window
+    from .sorted_groups import cpu_parallelism
 
     dets = read_mot_detections(spark, det_root, glob=glob, pattern=pattern)
     _, dropped = frame_coverage(dets, frame_index)
@@ -87,6 +93,8 @@ def mot_feature_job(spark, det_root: str, frame_index: DataFrame, sizes: DataFra
                            T.StructField("feature", T.ArrayType(T.DoubleType()))])
     src = kept.select("sequence", "frame_no", "row", *[F.col(f"crop_{c}").cast("double").alias(f"crop_{c}")
                                                       for c in ("x1", "y1", "x2", "y2")])
+    # joined rows are few bytes each: left to their size, they would share a few tasks
+    src = src.repartition(cpu_parallelism(src), "sequence", "frame_no")
     feats = score_in_batches(src, encoder_factory, schema, batch_size)
     write_feature_store(feats.withColumn("feature", F.coalesce("feature", F.array().cast("array<double>"))),
                         out_path)

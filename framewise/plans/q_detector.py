@@ -11,6 +11,7 @@ from ..functions.common import round6
 from ..operators import detector as D
 from ..operators import inference as INF
 from ..operators import vectors as VO
+from ..operators.sorted_groups import cpu_parallelism
 from .fixtures import duck_with, fixture
 from .registry import query
 
@@ -253,7 +254,7 @@ def _encoded(spark, sf):
                            T.StructField("det_id", T.LongType()),
                            T.StructField("feature", T.ArrayType(T.DoubleType()))])
     factory = INF.linear_encoder(ENCODER_W, keep=("camera_id", "frame_no", "det_id"))
-    return d, INF.score_in_batches(d, factory, schema, batch_size=32)
+    return d, INF.score_in_batches(d.repartition(cpu_parallelism(d), "camera_id", "frame_no"), factory, schema, batch_size=32)
 
 
 @query("v6_score_in_batches", duck_with("fx_dets") + f"""
