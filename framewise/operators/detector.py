@@ -171,17 +171,16 @@ def best_anchor_shape(truths: DataFrame, anchors=DEFAULT_ANCHORS, w: str = "bw_p
     """Anchor whose shape best overlaps the box (both centred at the origin);
     first anchor wins ties.  The 9 anchors are a literal array, so this is a
     projection, not a join."""
-    arr = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(float(a)).alias("w"), F.lit(float(b)).alias("h"))
-                    for i, (a, b) in enumerate(anchors)])
     bw, bh = F.col(w), F.col(h)
-
-    def iou(a):
-        inter = F.least(bw, a["w"]) * F.least(bh, a["h"])
-        return inter / (bw * bh + a["w"] * a["h"] - inter)
-
-    scored = F.transform(arr, lambda a: F.struct(iou(a).alias("iou"), (-a["id"]).alias("neg"), a["id"].alias("id")))
-    best = F.array_max(scored)
-    return truths.select("*", best["id"].alias("anchor_id"), best["iou"].alias("anchor_iou"))
+    scored, cols = truths, truths.columns
+    for i, (aw, ah) in enumerate(anchors):
+        inter = F.least(bw, F.lit(float(aw))) * F.least(bh, F.lit(float(ah)))
+        scored = scored.withColumn(f"_iou{i}", inter / (bw * bh + F.lit(float(aw)) * F.lit(float(ah)) - inter))
+    # plain columns in steps, not an array of structs: compiled, and each overlap is computed once
+    ious = [F.col(f"_iou{i}") for i in range(len(anchors))]
+    scored = scored.withColumn("_best", F.greatest(*ious) if len(ious) > 1 else ious[0])
+    best = F.coalesce(*[F.when(v.eqNullSafe(F.col("_best")), F.lit(i)) for i, v in enumerate(ious)])
+    return scored.select(*[F.col(f"`{c}`") for c in cols], best.alias("anchor_id"), F.col("_best").alias("anchor_iou"))
 
 
 def best_truth_iou(preds: DataFrame, truths: DataFrame, keys=("image_id",), ignore: float = 0.5,
@@ -229,9 +228,8 @@ def assign_truth_to_anchors(truths: DataFrame, anchors=DEFAULT_ANCHORS, input_si
     t = t.withColumn("i", F.floor(F.col("tx") * _grid(F.col("level"), in_w)).cast("int")) \
          .withColumn("j", F.floor(F.col("ty") * _grid(F.col("level"), in_h)).cast("int"))
     keys = ["image_id", "level", "j", "i", "k"]
-    return t.groupBy(*keys).agg(
-        F.max_by(F.struct("tx", "ty", "tw", "th"), F.col("box_no")).alias("_b"),
-        F.array_sort(F.collect_set("class_id")).alias("classes")).select(*keys, "_b.*", "classes")
+    return t.groupBy(*keys).agg(*[F.max_by(c, "box_no").alias(c) for c in ("tx", "ty", "tw", "th")],
+                                F.array_sort(F.collect_set("class_id")).alias("classes"))
 
 
 def _with_anchor_place(decoded: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from ..operators import detector as D
 from ..operators import inference as INF
 from ..operators import vectors as VO
 from ..operators.sorted_groups import cpu_parallelism
+from ..session import written_once
 from .fixtures import duck_with, fixture
 from .registry import query
 
@@ -391,7 +392,8 @@ from j group by image_id, level
 
 def _losses(spark, sf):
     raw, dec = _decoded(spark, sf)
-    targets = D.assign_truth_to_anchors(fixture(spark, sf, "fx_truth"))
+    # used twice, by the overlaps and by the loss
+    targets = written_once(D.assign_truth_to_anchors(fixture(spark, sf, "fx_truth")), "targets")
     # predictions are decoded once and take their best overlap along
     dec = dec.select("image_id", "level", "vec_id", "gy", "gx", "anchor_id", "bx", "by", "bw", "bh", "objectness", "class_probs")
     seen = D.best_truth_iou(dec, targets.select("image_id", "level", "tx", "ty", "tw", "th"), keys=("image_id", "level"))
