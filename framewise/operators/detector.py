@@ -14,6 +14,7 @@ from ..config import ANCHOR_MASK, COCO_CLASSES, DEFAULT_ANCHORS, LEVEL_STRIDES
 from ..functions.common import col, sigmoid
 from .cells import cell_pairs
 from .nms import greedy_fold
+from .sorted_groups import cpu_parallelism
 
 
 def classes_frame(spark: SparkSession, names=COCO_CLASSES) -> DataFrame:
@@ -228,6 +229,8 @@ def assign_truth_to_anchors(truths: DataFrame, anchors=DEFAULT_ANCHORS, input_si
     t = t.withColumn("i", F.floor(F.col("tx") * _grid(F.col("level"), in_w)).cast("int")) \
          .withColumn("j", F.floor(F.col("ty") * _grid(F.col("level"), in_h)).cast("int"))
     keys = ["image_id", "level", "j", "i", "k"]
+    # a fixed count: few bytes of boxes would be put together into a few long tasks with much memory
+    t = t.repartition(cpu_parallelism(t), *keys)
     return t.groupBy(*keys).agg(*[F.max_by(c, "box_no").alias(c) for c in ("tx", "ty", "tw", "th")],
                                 F.array_sort(F.collect_set("class_id")).alias("classes"))
 

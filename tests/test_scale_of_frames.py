@@ -43,6 +43,15 @@ def test_best_anchor_is_compiled_and_first_of_equals(spark):
             assert (r.anchor_id, r.anchor_iou) == (all_.index(max(all_)), max(all_))
 
 
+def test_targets_of_equal_cells_on_all_tasks(spark):
+    t = DET.assign_truth_to_anchors(spark.createDataFrame(TRUTHS, TRUTH))
+    assert "RepartitionByExpression" in plan_of(t)
+    got = {(r.image_id, r.classes[0]): r for r in t.collect()}
+    assert len(got) == 2 and got[(2, 1)].tw == 12 / 416
+    one = got[(1, 3)]
+    assert one.classes == [3, 5] and (one.tx, one.ty) == (42 / 416, 57 / 416)
+
+
 def test_loss_takes_its_targets_from_one_pass(spark, monkeypatch):
     monkeypatch.setattr(QD, "fixture", lambda s, sf, name: raw_rows(spark) if name == "fx_raw" else spark.createDataFrame(TRUTHS, TRUTH))
     losses = QD._losses(spark, None)
