@@ -242,8 +242,10 @@ def q_s10(spark, sf):
     d = fixture(spark, sf, "fx_dets").select(F.col("camera_id").alias("sequence"), "frame_no", F.array(F.col("frame_no").cast("double"), F.col("det_id").cast("double"), "x", "y").alias("row"),
                                              F.array(F.col("w") * F.col("h")).alias("feature"))
     MOT.write_feature_store(d, path, span=512)
-    rows = spark.read.parquet(path).select("sequence", "frame_no", "values", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    # a file is one below the store's root: its folder and name tell it from the others
+    v, file = F.col("values"), F.substring_index("_metadata.file_path", "/", -2)
+    rows = spark.read.parquet(path).select("sequence", "frame_no", *[v[i].alias(c) for i, c in enumerate(("frame", "det", "x", "y", "area"))],
+                                           file.alias("_file"), F.col("_metadata.row_index").alias("_at"))
     before = F.lag("frame_no").over(Window.partitionBy("_file").orderBy("_at"))
-    v = F.col("values")
-    return rows.select("sequence", v[0].alias("frame"), v[1].alias("det"), v[2].alias("x"), v[3].alias("y"), v[4].alias("area"),
-                       F.coalesce(before <= F.col("frame_no"), F.lit(True)).alias("in_order"))
+    return rows.repartition(cpu_parallelism(rows), "_file").select("sequence", "frame", "det", "x", "y", "area",
+                                                                  F.coalesce(before <= F.col("frame_no"), F.lit(True)).alias("in_order"))

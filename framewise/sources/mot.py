@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sorted_groups import cpu_parallelism
+
+
 def read_mot_detections(spark: SparkSession, root: str, detection_root: str | None = None,
                         pattern: str = r"([^/]+)/det/[^/]+$", glob: str = "*/det/det.txt") -> DataFrame:
     """Detection rows of every sequence: ``sequence``, ``frame_no`` (int of
@@ -74,5 +77,6 @@ def write_feature_store(df: DataFrame, path: str, key: str = "sequence", frame:
     out = df.select(key, frame, F.concat(F.col(row).cast("array<double>"),
                                          F.col(feature).cast("array<double>")).alias("values"))
     stretch = F.floor(F.col(frame) / span)
-    (out.repartition(F.col(key), stretch).sortWithinPartitions(key, frame)
+    # a fixed count: few bytes of rows would be put together into a few tasks that sort very many
+    (out.repartition(cpu_parallelism(out), F.col(key), stretch).sortWithinPartitions(key, frame)
         .write.mode("overwrite").partitionBy(key).parquet(path))

@@ -57,3 +57,17 @@ def test_loss_takes_its_targets_from_one_pass(spark, monkeypatch):
     losses = QD._losses(spark, None)
     assert "collect_set" not in plan_of(losses)
     assert sorted({r.image_id for r in losses.collect()}) == [1, 2]
+
+
+def dets_of(spark):
+    return spark.range(4000).select(F.concat(F.lit("cam"), (F.col("id") % 2).cast("string")).alias("camera_id"), F.col("id").alias("frame_no"),
+                                    F.lit(1).cast("long").alias("det_id"), *[F.col("id").cast("double").alias(c) for c in "xywh"])
+
+
+def test_store_is_written_and_checked_by_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(QO, "fixture", lambda s, sf, name: dets_of(spark))
+    out = QO.q_s10(spark, None)
+    assert out.columns == ["sequence", "frame", "det", "x", "y", "area", "in_order"]
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 2
+    rows = out.collect()
+    assert len(rows) == 4000 and all(r.in_order and r.area == r.frame ** 2 for r in rows)
