@@ -53,19 +53,28 @@ def frame_coverage(dets: DataFrame, frame_index: DataFrame, key: str = "sequence
     with ``has_dets`` / ``has_image``; plus the detections dropped because
     their frame has no image.  The frame spine is generated in blocks of
     ``block`` frames (two-level explode), so no row ever holds a whole long
-    sequence; images are matched by an equi-join."""
+    sequence.  Blocks, detections and images are shuffled together by sequence and block,
+    before the blocks become frames: all tasks make frames, and no frame is shuffled."""
     rng = dets.groupBy(key).agg(F.min(frame).alias("_lo"), F.max(frame).alias("_hi"))
     blocks = rng.select(key, "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") / block),
                                                                F.floor(F.col("_hi") / block))).alias("_b"))
     lo = F.greatest(F.col("_lo"), (F.col("_b") * block).cast("int"))
     hi = F.least(F.col("_hi"), (F.col("_b") * block + block - 1).cast("int"))
-    spine = blocks.select(key, F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias(frame))
-    have_d = dets.select(key, frame).distinct().withColumn("has_dets", F.lit(True))
-    have_i = frame_index.select(key, frame).distinct().withColumn("has_image", F.lit(True))
-    cov = (spine.join(have_d, [key, frame], "left").join(have_i, [key, frame], "left")
-           .select(key, frame, F.coalesce("has_dets", F.lit(False)).alias("has_dets"),
-                   F.coalesce("has_image", F.lit(False)).alias("has_image")))
-    dropped = dets.join(have_i.select(key, frame), [key, frame], "left_anti")
+    blocks = blocks.select(key, "_b", lo.cast("int").alias("_lo"), hi.cast("int").alias("_hi"), F.lit(0).alias("_kind"))
+
+    def seen(df: DataFrame, kind: int) -> DataFrame:
+        at = F.col(frame).try_cast("int")  # a frame that is no int is on no spine
+        if df.schema[frame].dataType.typeName() not in ("byte", "short", "integer", "long"):
+            at = F.when(at == F.col(frame), at)
+        return df.where(F.col(key).isNotNull() & at.isNotNull()).select(
+            key, F.floor(at / block).alias("_b"), at.alias("_lo"), at.alias("_hi"), F.lit(kind).alias("_kind"))
+
+    rows = blocks.unionByName(seen(dets, 1)).unionByName(seen(frame_index, 2)).repartition(cpu_parallelism(dets), key, "_b")
+    rows = rows.select(key, "_b", "_kind", F.explode(F.sequence("_lo", "_hi")).alias(frame))
+    cov = rows.groupBy(key, "_b", frame).agg(*[F.max(F.col("_kind") == k).alias(n) for k, n in enumerate(("_spine", "has_dets", "has_image"))])
+    cov = cov.where("_spine").select(key, frame, "has_dets", "has_image")
+    have_i = frame_index.select(key, frame).distinct()
+    dropped = dets.join(have_i, [key, frame], "left_anti")
     return cov, dropped
 
 

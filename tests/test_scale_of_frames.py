@@ -59,6 +59,24 @@ def test_loss_takes_its_targets_from_one_pass(spark, monkeypatch):
     assert sorted({r.image_id for r in losses.collect()}) == [1, 2]
 
 
+def test_coverage_is_made_by_all_tasks(spark):
+    dets = [("a", f) for f in (3, 3, 3999, 17, 40_000)] + [("b", -5000), ("b", 3), ("c", 7), (None, 1), (None, 2), ("d", None), ("a", None)]
+    images = [("a", 2), ("a", 3), ("a", 3), ("a", 40_001), ("b", -4097), ("b", None), (None, 1), ("e", 1), ("c", 7)]
+    d = spark.createDataFrame(dets, "sequence string, frame_no int")
+    i = spark.createDataFrame(images, "sequence string, frame_no int")
+    for wide in (d, d.withColumn("frame_no", F.col("frame_no").cast("long")), d.withColumn("frame_no", F.col("frame_no").cast("double"))):
+        cov, dropped = MOT.frame_coverage(wide, i)
+        want = []
+        for s in ("a", "b", "c", None):
+            have = [f for k, f in dets if k == s and f is not None]
+            want += [(s, f, s is not None and f in have, s is not None and (s, f) in images) for f in range(min(have), max(have) + 1)]
+        assert sorted(map(tuple, cov.collect()), key=str) == sorted(want, key=str)
+        assert cov.schema["frame_no"].dataType.typeName() == "integer"
+        assert dropped.count() == len(dets) - 3
+    assert "Join" not in plan_of(cov)
+    assert cov.select(F.spark_partition_id().alias("p")).distinct().count() > 2
+
+
 def dets_of(spark):
     return spark.range(4000).select(F.concat(F.lit("cam"), (F.col("id") % 2).cast("string")).alias("camera_id"), F.col("id").alias("frame_no"),
                                     F.lit(1).cast("long").alias("det_id"), *[F.col("id").cast("double").alias(c) for c in "xywh"])
