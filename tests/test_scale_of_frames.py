@@ -89,3 +89,11 @@ def test_store_is_written_and_checked_by_all_tasks(spark, monkeypatch):
     assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 2
     rows = out.collect()
     assert len(rows) == 4000 and all(r.in_order and r.area == r.frame ** 2 for r in rows)
+
+
+def test_candidates_leave_logits_behind(spark, monkeypatch):
+    monkeypatch.setattr(QD, "fixture", lambda s, sf, name: raw_rows(spark))
+    out = QD.q_n2(spark, None)
+    fold = [line for line in plan_of(out).splitlines() if "collect_list" in line]
+    assert fold and not any("logits" in line or "gy" in line or "image_w" in line for line in fold)
+    assert out.columns == ["image_id", "class_id", "vec_id", "pick"] and out.count() > 0
