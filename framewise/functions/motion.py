@@ -142,6 +142,24 @@ def gate_box(s, threshold: float) -> tuple[Column, Column, Column, Column]:
     return s["x"] - rx, s["y"] - ry, s["x"] + rx, s["y"] + ry
 
 
+def projected_box(p, threshold: float) -> tuple[Column, Column, Column, Column]:
+    """:func:`gate_box` of a state that is already projected."""
+    p = col(p)
+    rx, ry = F.sqrt(F.lit(threshold) * p["s_x"]), F.sqrt(F.lit(threshold) * p["s_y"])
+    return p["x"] - rx, p["y"] - ry, p["x"] + rx, p["y"] + ry
+
+
+def projected_distance(p, cx, cy, a, h, only_position: bool = False) -> Column:
+    """:func:`gating_distance` to a state that is already projected."""
+    p = col(p)
+    z = dict(zip(AXES, map(col, (cx, cy, a, h))))
+    terms = [(z[k] - p[k]) * (z[k] - p[k]) / p[f"s_{k}"] for k in (AXES[:2] if only_position else AXES)]
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
+
+
 def state_tlwh(s) -> dict[str, Column]:
     """Box of the state mean in tlwh coding."""
     s = col(s)

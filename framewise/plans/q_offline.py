@@ -23,7 +23,7 @@ from ..sources import mot as MOT
 from .fixtures import duck_with, fixture
 from .q_detector import ENCODER_W
 from .q_sources import frame_messages
-from .q_tracking import LIFECYCLE_SQL, _SCENE_WITH, scene_inputs
+from .q_tracking import LIFECYCLE_SQL, _SCENE_WITH, one_hot, scene_inputs
 from .registry import query
 
 
@@ -43,9 +43,7 @@ def q_a4(spark, sf):
     prev = K.forecast_tracks(prev, 1)
     box = KF.state_tlwh("kf")
     prev = prev.select("*", *[v.alias(f"t_{k}") for k, v in box.items()])
-    onehot = F.transform(F.sequence(F.lit(0), F.lit(4)),
-                         lambda i: F.when(i == F.col("birth_det"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    prev = prev.withColumn("samples", F.when(F.col("state") == 2, F.array(onehot)))
+    prev = prev.withColumn("samples", F.when(F.col("state") == 2, F.array(one_hot("birth_det"))))
     xyah = tlwh_to_xyah("x", "y", "w", "h")
     d = dets.select("camera_no", "frame_no", "det_id", *[v.alias(f"d_{k}") for k, v in xyah.items()],
                     *[F.col(c).alias(f"d_{c}") for c in ("x", "y", "w")], F.col("feature").alias("d_feature"))

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -147,3 +148,24 @@ def test_association_of_tracker_snapshots_runs_one_tracker_and_one_solver(spark,
     # tracker and solver; the tracker ran for the written edges, so the final plan holds the solver alone
     assert len(runs) == 2 and "ubquery" not in final
     assert final.count("MapInPandas") == 1
+
+
+def test_association_is_code_that_a_jvm_compiles(spark, monkeypatch, capsys):
+    """HotSpot leaves methods of more than 8,000 bytes to its interpreter."""
+    class Seen(Exception):
+        pass
+
+    def look(df, name):
+        df.explain("codegen")
+        raise Seen
+
+    monkeypatch.setattr(A, "written_once", look)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(Seen):
+            QUERIES["a4_match_two_stage"](spark, SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert len(sizes) > 5 and max(sizes) < 8000
