@@ -191,9 +191,7 @@ def q_s6(spark, sf):
     """One small file a customer, in a folder of its nation's sequence and its own frame; listed, not read."""
     root = scratch_path(spark, "frames")
     c = spark.read.parquet(f"{sf}/customer.parquet")
-    c.select(F.col("c_nationkey").alias("sequence"), F.col("c_custkey").alias("frame_no"), F.col("c_name").alias("value")) \
-        .repartition(cpu_parallelism(c), "sequence", "frame_no").write.partitionBy("sequence", "frame_no") \
-        .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)  # tasks move their folders, not the driver
+    MOT.write_frame_tree(c.select(F.col("c_nationkey").alias("sequence"), F.col("c_custkey").alias("frame_no"), F.col("c_name").alias("value")), root)
     idx = MOT.read_frame_index(spark, root, **MOT.FRAME_TREE)
     return idx.groupBy("sequence", "frame_no").agg(F.count(F.lit(1)).alias("n_files"))
 

@@ -7,6 +7,12 @@ taken from the file path, so every sequence is read by one parallel scan.
 
 from __future__ import annotations
 
+import os
+import re
+from contextlib import contextmanager
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +40,12 @@ def read_frame_index(spark: SparkSession, root: str, glob: str = "*/img1/*",
     Only paths are selected, so file contents are never read.  A tree with a folder
     a frame (``sequence=<s>/frame_no=<n>/<any name>``) is listed with
     :data:`FRAME_TREE` as keyword arguments.  A glob is looked up by the driver, folder by folder; with ``recursive`` the folders
-    below those that it names are listed by Spark's tasks, and files whose path does not match ``pattern`` are left out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(f"{root.rstrip('/')}/{glob}").select("path")
+    below those that it names are listed by Spark's tasks, and files whose path does not match ``pattern`` are left out.
+    Folders and files are many and small, so a task takes its share of them and not a few."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    tasks = cpu_parallelism(spark.range(0))
+    with _listing_tasks(spark, tasks):
+        files = reader.load(f"{root.rstrip('/')}/{glob}").select("path").coalesce(tasks)
     if recursive:
         files = files.where(F.col("path").rlike(pattern))
     stem = F.regexp_extract("path", frame_pattern, 1)
@@ -43,6 +53,48 @@ def read_frame_index(spark: SparkSession, root: str, glob: str = "*/img1/*",
                         stem.try_cast("int").alias("frame_no"), "path").where(F.col("frame_no").isNotNull())
 
 
+@contextmanager
+def _listing_tasks(spark: SparkSession, tasks: int):
+    """Listings use ``tasks`` tasks a level at most; Spark's default is one a folder, up to 10,000."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(tasks))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def write_frame_tree(rows: DataFrame, root: str, sequence: str = "sequence", frame: str = "frame_no", value: str = "value") -> None:
+    """A text file of its ``value`` lines for each sequence and frame (integers), in a folder of its own: the tree of :data:`FRAME_TREE`.
+
+    Where ``root`` is a mounted folder, tasks write the files themselves.  Hadoop's local file system would start a
+    process (chmod) for every folder, file and checksum.  Elsewhere Spark's partitioned writer makes the tree."""
+    rows = rows.select(F.col(sequence).alias("sequence"), F.col(frame).alias("frame_no"), F.col(value).cast("string").alias("value"))
+    rows = rows.repartition(cpu_parallelism(rows), "sequence", "frame_no")
+    local = re.fullmatch(r"(?:file:(?://)?)?(/[^/].*)", root.rstrip("/"))
+    if not local:
+        # tasks move their folders, not the driver
+        rows.write.partitionBy("sequence", "frame_no").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)
+        return
+    top = local.group(1)
+
+    def write(batches):
+        name, last, n = f"part-{TaskContext.get().partitionId():05d}.txt", None, 0
+        for batch in batches:
+            for *at, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                folder = "/".join([top, *(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(("sequence", "frame_no"), at, strict=True))])
+                if at != last:
+                    os.makedirs(folder, exist_ok=True)
+                # a task that runs again writes the same files
+                with open(f"{folder}/{name}", "a" if at == last else "w", encoding="utf-8") as f:
+                    f.write(f"{text or ''}\n")
+                n, last = n + (at != last), at
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    rows.sortWithinPartitions("sequence", "frame_no").mapInArrow(write, "n long").agg(F.sum("n")).first()
+
+
 #: Listing of a tree that a partitioned writer makes: one folder a frame.
 FRAME_TREE = {"glob": "sequence=*", "recursive": True, "pattern": r"sequence=([^/]+)/frame_no=[^/]+/[^/]+$", "frame_pattern": r"/frame_no=([0-9]+)/[^/]+$"}
 

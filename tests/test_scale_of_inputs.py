@@ -56,3 +56,31 @@ def test_frame_tree_is_listed_by_tasks(spark, tmp_path):
     assert sorted((r.sequence, r.frame_no) for r in idx.collect()) == [("a", 1), ("a", 2), ("a", 2), ("b", 7)]
     # a glob of all files would make each of them a root path of the listing
     assert MOT.FRAME_TREE["recursive"] and "frame_no" not in MOT.FRAME_TREE["glob"]
+
+
+def test_frame_tree_is_written_by_tasks_without_a_process_a_file(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (2, 7, None), (None, 8, "c"), (3, None, "d")], "sequence int, frame_no long, value string")
+    write = type(rows.write).text
+    monkeypatch.setattr(type(rows.write), "text", None)  # Spark's writer would go through Hadoop's local file system
+    root = tmp_path / "tree"
+    MOT.write_frame_tree(rows, f"file://{root}")
+    files = sorted(str(f.parent.relative_to(root)) for f in root.rglob("*") if f.is_file())
+    none = "__HIVE_DEFAULT_PARTITION__"
+    assert files == ["sequence=1/frame_no=5", "sequence=2/frame_no=7", f"sequence=3/frame_no={none}", f"sequence={none}/frame_no=8"]
+    assert sorted(next((root / "sequence=1" / "frame_no=5").iterdir()).read_text().split()) == ["a", "b"]
+    listed = {(r.sequence, r.frame_no) for r in MOT.read_frame_index(spark, str(root), **MOT.FRAME_TREE).collect()}
+    # as the partitioned writer's tree is listed
+    monkeypatch.setattr(type(rows.write), "text", write)
+    rows.repartition(1).write.partitionBy("sequence", "frame_no").text(str(tmp_path / "spark"))
+    assert listed == {(r.sequence, r.frame_no) for r in MOT.read_frame_index(spark, str(tmp_path / "spark"), **MOT.FRAME_TREE).collect()}
+
+
+def test_listing_takes_a_bounded_number_of_tasks(spark, tmp_path):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    for f in range(60):
+        (tmp_path / "sequence=a" / f"frame_no={f}").mkdir(parents=True)
+        (tmp_path / "sequence=a" / f"frame_no={f}" / "x").write_text("1")
+    idx = MOT.read_frame_index(spark, str(tmp_path), **MOT.FRAME_TREE)
+    assert idx.count() == 60 and spark.conf.get(name) == before
+    assert idx.rdd.getNumPartitions() <= 8
