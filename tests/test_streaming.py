@@ -208,3 +208,32 @@ def test_replayed_batch_keeps_its_clock(spark, tmp_path, monkeypatch):
     again = sorted((r.claimed, r.status) for r in spark.read.parquet(f"{base}/intake/batch_id=0").collect())
     assert again == first and ("old", "stale") in again
     assert len({s for c, s in again if c != "old"}) == 1
+
+
+def test_a_micro_batch_is_taken_in_slices_and_its_samples_stay_numbers(monkeypatch):
+    """Memory: rows of a batch as arrays, outputs slice by slice, galleries as bytes in the state."""
+    import numpy as np
+    import pandas as pd
+
+    from framewise.operators.tracker_core import CameraTracker
+    from framewise.streaming import tracking as ST
+
+    monkeypatch.setattr(ST, "SLICE", 10)
+    n = 60
+    rows = [(f, None, None, *[np.nan] * 4, None) for f in range(n)] + [(f, o, o, 200.0 * o + f, 0.0, 40.0, 80.0, np.eye(2)[o]) for f in range(n) for o in range(2)]
+    pdf = pd.DataFrame(rows, columns=["frame_no", "det_id", "_place", "x", "y", "w", "h", "feature"]).sample(frac=1, random_state=1)
+    batch = ST._Batch(iter([pdf.iloc[:70], pdf.iloc[70:70], pdf.iloc[70:]]), "frame_no", "feature")
+    assert batch.late(4) == 5 and batch.late(None) == 0
+    parts = list(batch.slices(4))
+    assert len(parts) > 10 and max(len(p[0]) for p in parts) <= 12
+    frames = np.concatenate([p[0] for p in parts])
+    assert frames.tolist() == sorted([*range(5, n)] * 3)
+    assert np.isnan(np.concatenate([p[1] for p in parts])[::3]).all()
+    assert len({f for p in parts for f in set(p[0].tolist())}) == sum(len(set(p[0].tolist())) for p in parts)
+    tr = CameraTracker(TrackerConfig())
+    for f in range(200):
+        tr.step(f, np.array([1]), np.array([[10.0, 10, 20, 40]]), np.array([[1.0, 0.1]]))
+    state = tr.to_state()
+    assert isinstance(state[0][0][9], bytes) and len(state[0][0][9]) == 200 * 16
+    again = CameraTracker.from_state(TrackerConfig(), state)
+    assert (again.gallery[1].samples == tr.gallery[1].samples).all() and again.gallery[1].balls[0][2] == 3
