@@ -216,3 +216,73 @@ def test_empty_and_untrained(spark):
     r = lm.op12_lm_scoring(spark.createDataFrame([(held, "a", None, None, 1)], SCHEMA)).collect()[0]
     assert (r["n_known"], r["train_tokens"], r["base_score"]) == (0, 0, 0.0)
     assert r["score"] == pytest.approx(-(32 + math.log2((lm.ADAPT + 1) / lm.ADAPT)) * math.log10(2), rel=1e-3)
+
+
+def test_order_gain_equals_token_by_token():
+    rnd = random.Random(5)
+    words = [w.encode() for w in "abcdefgh"] + [b"\n"]
+    docs = [[rnd.randrange(8) for _ in range(rnd.randint(0, 40))] + [8] for _ in range(30)]
+    docs += [docs[0], docs[1]]
+    learned = np.array([rnd.random() < 0.7 for _ in docs])
+    bits = np.array([rnd.uniform(0.5, 1500) for _ in words])
+    number, lens = np.array([t for d in docs for t in d], dtype=np.int32), np.array([len(d) for d in docs])
+    halves = [slice(0, 12), slice(12, len(docs))]
+    asked, where = [], []
+    for h, half in enumerate(halves):  # two blocks with dictionaries of their own order
+        names = list(dict.fromkeys(t for d in docs[half] for t in d))
+        mine = np.array([names.index(t) for d in docs[half] for t in d], dtype=np.int32)
+        pairs, times, place = lm.pair_shares([words[t] for t in names], mine, lens[half], np.repeat(learned[half], lens[half]))
+        asked += [{"block": h, "bucket": b, "pairs": p, "times": t} for b, (p, t) in enumerate(zip(pairs, times, strict=True))]
+        where.append((names, mine, np.frombuffer(place, np.uint8)))
+    told = [r for b in range(lm.BUCKETS) for r in lm.pair_sums(pa.Table.from_pylist([x for x in asked if x["bucket"] == b])).to_pylist()]
+    follows = [Counter(zip([None, *d], d)) for d in docs]
+    got = []
+    for h, half in enumerate(halves):
+        names, mine, bucket = where[h]
+        first, second, which = lm.neighbours(mine, lens[half])
+        sums = np.empty(len(bucket), dtype=np.int64)
+        much = np.bincount(bucket, minlength=lm.BUCKETS).tolist()
+        sums[np.argsort(bucket, kind="stable")] = np.concatenate([lm.unpacked(r["sums"], k) for r, k in zip([r for r in told if r["block"] == h], much, strict=True)])
+        every = sum((f for f, k in zip(follows, learned, strict=True) if k), Counter())
+        assert sums.tolist() == [every[(names[a - 1] if a else None, names[b])] for a, b in zip(first, second, strict=True)]
+        c = Counter(t for d, k in zip(docs, learned, strict=True) if k for t in d)
+        after = np.array([c[8] if not a else c[names[a - 1]] for a in first])
+        got += lm.order_gain(mine, lens[half], lm.Bag.of(mine, lens[half]), bits[names], which, sums, after, learned[half]).tolist()
+    for d, (doc, gain) in enumerate(zip(docs, got, strict=True)):
+        rest = sum((f for e, (f, k) in enumerate(zip(follows, learned, strict=True)) if k and e != d), Counter())
+        had, want = Counter(), 0.0
+        for i, (a, b) in enumerate(zip([None, *doc], doc)):
+            new = math.log(lm.ADAPT) - bits[b] * math.log(2)
+            plain = (np.logaddexp(new, math.log(had[b])) if had[b] else new) - math.log(lm.ADAPT + i)
+            seen = sum(x for (y, _), x in rest.items() if y == a)
+            told_p = math.log(lm.ORDER / (seen + lm.ORDER)) + plain
+            if rest[(a, b)]:
+                told_p = np.logaddexp(told_p, math.log(rest[(a, b)] / (seen + lm.ORDER)))
+            want += (told_p - plain) / math.log(2)
+            had[b] += 1
+        assert gain == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+def test_order_of_words_counts(spark):
+    """A held-out text costs less than its words in another order, and a text that comes twice less than one that comes once."""
+    rnd = random.Random(2)
+    vocabulary = [f"word{i}" for i in range(300)]
+    rnd.shuffle(vocabulary)
+    lines = [" ".join(vocabulary[i:i + 10]) for i in range(0, 300, 10)]
+    ids = iter(range(10**6))
+
+    def next_id(held):
+        return next(k for k in ids if (zlib.crc32(str(k).encode()) % 5 == 1) == held)
+
+    rows = [(next_id(False), "\n".join(rnd.sample(lines, 6)), "en", "a", 1) for _ in range(60)]
+    text = "\n".join(rnd.sample(lines, 8))
+    words = text.split()
+    rnd.shuffle(words)
+    known, other = next_id(True), next_id(True)
+    rows += [(known, text, "en", "a", 1), (other, " ".join(words), "en", "a", 1)]
+    fresh = [" ".join(rnd.choices(vocabulary, k=60)) for _ in range(2)]
+    once, twice, again = next_id(False), next_id(False), next_id(False)
+    rows += [(once, fresh[0], "en", "a", 1), (twice, fresh[1], "en", "a", 1), (again, fresh[1], "en", "a", 1)]
+    out = {r["doc_id"]: r["bits_per_byte"] for r in lm.op12_lm_scoring(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert out[known] < 0.9 * out[other]
+    assert out[twice] == pytest.approx(out[again]) and out[twice] < 0.9 * out[once]
